@@ -8,7 +8,10 @@ import importlib
 #: express the operator, sql().
 MODULES = {
     "op1_mixing": "mixing",
+    "op6_sharding": "sharding",
     "op7_quality_rules": "quality_rules",
+    "op8_secrets": "secrets",
+    "op10_licenses": "licenses",
 }
 
 

@@ -8,6 +8,7 @@ import importlib
 #: express the operator, sql().
 MODULES = {
     "op1_mixing": "mixing",
+    "op4_pii": "pii",
     "op6_sharding": "sharding",
     "op7_quality_rules": "quality_rules",
     "op8_secrets": "secrets",

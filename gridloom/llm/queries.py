@@ -9,6 +9,7 @@ import importlib
 MODULES = {
     "op1_mixing": "mixing",
     "op4_pii": "pii",
+    "op5_ngram_join": "ngram_join",
     "op6_sharding": "sharding",
     "op7_quality_rules": "quality_rules",
     "op8_secrets": "secrets",

@@ -8,6 +8,7 @@ import importlib
 #: express the operator, sql().
 MODULES = {
     "op1_mixing": "mixing",
+    "op2_ann": "ann",
     "op4_pii": "pii",
     "op5_ngram_join": "ngram_join",
     "op6_sharding": "sharding",

@@ -9,6 +9,7 @@ import importlib
 MODULES = {
     "op1_mixing": "mixing",
     "op2_ann": "ann",
+    "op3_quality_model": "quality_model",
     "op4_pii": "pii",
     "op5_ngram_join": "ngram_join",
     "op6_sharding": "sharding",

@@ -15,6 +15,7 @@ MODULES = {
     "op6_sharding": "sharding",
     "op7_quality_rules": "quality_rules",
     "op8_secrets": "secrets",
+    "op9_sentencepiece": "sentencepiece",
     "op10_licenses": "licenses",
 }
 

@@ -25,20 +25,22 @@ def statement(name: str, dialect) -> str:
     return with_relations(write(dialect), relations, dialect)
 
 
+def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """Runs a statement over the driver tables that it names, with no views
+    left behind in the session."""
+    sql = re.sub(r"\b(FROM|JOIN) (" + "|".join(TABLES) + r")\b", r"\1 {\2}", sql)
+    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in sql}
+    return spark.sql(sql, **used)
+
+
 def _runner(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sql = statement(name, Spark())
-        frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if re.search(rf"\b{t}\b", sql)}
-        sql = re.sub(r"\b(FROM|JOIN) (" + "|".join(TABLES) + r")\b", r"\1 {\2}", sql)
-        used = {t: f for t, f in frames.items() if "{" + t + "}" in sql}
-        return spark.sql(sql, **used)
+        return run_sql(spark, sf_dir, statement(name, Spark()))
 
     run.__name__ = name
     return run
 
 
-
-
 def queries() -> dict:
     from gridloom.operators import registry
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from gridloom.llm.text import fresh, word_count
+from gridloom.llm.text import word_count
 from gridloom.plans.staging import materialize
 
 BINS = 4096
@@ -96,11 +96,9 @@ def thresholds(sized: DataFrame, plan: DataFrame) -> DataFrame:
         (F.col("_hi") * BINS + F.col("_at._bin") + F.when(2 * F.col("_want") >= 2 * F.col("_at.upto") - F.col("_at._size"), 1).otherwise(0)).alias("cut"),
     )
     out = plan.join(low, F.col("source").eqNullSafe(F.col("_s4")), "left")
-    # no bin passes the want: all of the source, or none of an empty one
-    return out.select(
-        "source", "weight", "source_size", "target", "whole",
-        F.coalesce("cut", F.when(F.col("_want") > 0, F.lit(BINS * BINS)).otherwise(F.lit(0))).cast("long").alias("cut"),
-    )
+    # no bin passes the want: all of the source; nothing wanted: none of it
+    cut = F.when(F.col("_want") > 0, F.coalesce("cut", F.lit(BINS * BINS))).otherwise(F.lit(0))
+    return out.select("source", "weight", "source_size", "target", "whole", cut.cast("long").alias("cut"))
 
 
 def plan_mix(
@@ -127,11 +125,10 @@ def repetitions(sized: DataFrame, plan: DataFrame, source: str = "source", u: st
 def mix_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken."""
     _, plan = plan_mix(docs, seed=seed, **options)
-    size, u = fresh(docs, "_size", "_draw")
-    sized = docs.withColumn(size, word_count("text"))
-    sized = sized.withColumn(u, draw(seed, "doc_id", size))
-    reps = repetitions(sized, plan.select("source", "whole", "cut"), "source", u).where(F.col("reps") > 0)
-    return reps.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("reps").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source", word_count("text").alias("size"))
+    sized = sized.withColumn("_u", draw(seed, "doc_id", "size"))
+    taken = repetitions(sized, plan.select("source", "whole", "cut")).where(F.col("reps") > 0)
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("reps").cast("int")))).select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -145,9 +145,10 @@ def listed(found: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with every span replaced by ``mark``; ``n_chars``, if there, is
     made true again.  Texts without spans stay as they are."""
-    found = scan(docs.withColumn("_scanned", F.col(text)), text="_scanned", **options)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    found = scan(docs.select(row, F.col(text).alias("text")), **options)
     every = F.array_sort(F.concat("_assign", "_access", "_hex", "_random"))
-    t = F.col("_scanned")
+    t = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
         inside = s["start"] < acc["at"]  # overlaps what is already struck out
@@ -156,11 +157,10 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **option
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     done = F.aggregate(every, start, step, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
-    new = {text: F.when(F.size(every) > 0, done).otherwise(t)}
-    out = found.withColumns(new)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size(every) > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    hit = F.size(every) > 0
+    out = found.select("_row", F.when(hit, done).otherwise(t).alias("_new"), hit.alias("_hit"))
+    new = {text.lower(): F.col("_new"), "n_chars": F.when(F.col("_hit"), F.length("_new").cast("long")).otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
+    return out.select(*[(F.col(f"_row.`{c}`") if c.lower() not in new else new[c.lower()]).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

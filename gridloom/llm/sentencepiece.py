@@ -329,12 +329,13 @@ def _run(v: Vocabulary, names: list[str], text: str, seed: int, dropout: float,
 
 def encode_documents(docs: DataFrame, model: str = MODEL, seed: int = 13, dropout: float = 0.1, id_col: str = "doc_id", text: str = "text", keep_text: bool = False, check: bool = True) -> DataFrame:
     """Rows of ``docs`` with ``pieces`` and, on request, ``lossless``: whether
-    decoding them gives the text.  The text itself stays only if asked for."""
+    decoding them gives the text.  The text itself stays only if asked for;
+    columns that have the names of new ones are replaced."""
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    names = [c for c in docs.columns if keep_text or c != text]
+    names = [c for c in docs.columns if (keep_text or c != text) and c.lower() not in ("pieces", "lossless", "_key")]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in names)
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(id_col)))
+    keyed = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, text])], F.xxhash64(F.col(id_col)).alias("_key"))
     schema = f"{kinds}, pieces array<int>" + (", lossless boolean" if check else "")
     return keyed.mapInArrow(_run(Vocabulary.load(model), names, text, seed, dropout, check), schema)
 

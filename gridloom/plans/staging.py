@@ -39,19 +39,8 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate in bytes (file sizes, for a scan)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
-
-
-def table_bytes(df: DataFrame) -> int:
-    """Bytes of the files that ``df`` scans, by Spark's own file listing."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
+def arrow_batches(spark: SparkSession, rows: int, size: str = "32m") -> None:
+    """Bounds what a Python worker is handed at once, in rows and in bytes, for
+    the rest of the session: plans run after the function that made them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

@@ -15,10 +15,12 @@ further round under another hash, and both sets of a missed pair must have done
 so.  After the last round such a set also emits its weak signatures.  Sets too
 small to differ in anything are joined by equality.
 
-Signatures travel as packed arrays, pre-combined per task, so a signature that
-many copies share arrives at most once per task.  Where sets share a signature,
-each is paired with the group's smallest member, never with all others.  Pairs
-are verified exactly.  A signature whose sets are still in more than one
+Signatures travel as packed arrays, and a task sends equal texts once.  Where
+sets share a signature, each is paired with the group's hub (the member that
+shares most signatures over all), never with all others.  Pairs are verified
+exactly.  Similar sets share many signatures, at least n1 - H less
+the weak ones, so a set that shares fewer with all others together is dropped
+first: a passage that many texts quote makes no pairs.  A signature whose sets are still in more than one
 component afterwards is settled by the pairs across components, less those that
 the triangle inequality of Jaccard distance rules out.  Components come from
 alternating large-star and small-star steps, on pairs only.
@@ -38,16 +40,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridloom.plans.components import connected_components
-from gridloom.plans.staging import materialize, shared_dir, table_bytes
+from gridloom.plans.staging import arrow_batches, materialize
 
 #: Ratio of a band's largest to its smallest size.
-BAND = 1.6
+BAND = 1.25
 #: Texts of so many bytes are worked on at once.
 SLICE_BYTES = 2_000_000
 #: Signatures that a task holds before it combines and sends them.
 FLUSH = 2_000_000
 #: Rounds in which sets with many weak partitions are hashed anew.
-ROUNDS = 6
+ROUNDS = 8
+#: Contents of fewer elements are weak.
 WEAK = 2
 
 _M = (1 << 64) - 1
@@ -66,22 +69,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _CODE = mix64(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
 _CODE[65:91] = _CODE[97:123]  # A-Z as a-z
 _BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start places of the words in a byte array, A-Z lowered.
+def word_hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of the words in a byte array, A-Z lowered.
 
     A word's hash is a polynomial in a fixed odd base over 64-bit codes of its
     bytes, by running sums: no loop over words."""
     if not len(data):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64)
     inside = ~_SPACE[data]
     edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64)
     n = len(data)
     power = np.full(n + 1, _BASE, np.uint64)
     power[0] = 1
@@ -89,7 +93,8 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_CODE[data] * power[:n], dtype=np.uint64)))
     # bring a word to place 0: multiply by base^(n - start), equal for all words
     value = (run[end] - run[start]) * power[n - start]
-    return value, start  # still times base^n; see shingle_sets
+    value *= np.uint64(pow(_INVERSE, n, 1 << 64))
+    return mix64(value)
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -117,14 +122,10 @@ def shingle_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, list[np.nda
         i = j
 
 
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
 def _shingles(data: np.ndarray, width: int) -> np.ndarray:
-    w, _ = word_hashes(data)
+    w = word_hashes(data)
     if not len(w):
         return np.empty(0, np.uint64)
-    w = mix64(w * np.uint64(pow(_INVERSE, len(data), 1 << 64)))
     k = min(width, len(w))
     s = np.full(len(w) - k + 1, k, np.uint64)
     for j in range(k):
@@ -157,80 +158,82 @@ def scheme(band: int, num: int, den: int) -> tuple[int, int]:
     """(partitions, largest difference) of a band."""
     top = edge(band + 1) - 1
     h = most_differences(top, top, num, den)
-    return h + max(1, (h + 3) // 4) if h else 1, h
+    return h + max(1, (2 * h + 4) // 5) if h else 1, h
 
 
-def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
-    """All signatures of a set of (sorted) 64-bit elements."""
-    out = []
-    for band in bands(len(s), num, den):
+def signatures(s: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
+    """All signatures of a set of (sorted) 64-bit elements, and how many of
+    them any similar set must share at least."""
+    out, need, n = [], len(s), len(s)
+    for band in bands(n, num, den):
         n1, h = scheme(band, num, den)
         if h == 0:
             out.append(mix64(np.array([np.bitwise_xor.reduce(mix64(s)) + np.uint64(band)], np.uint64)))
+            need = 1
             continue
+        largest = min(n * den // num, edge(band + 1) - 1)
+        own = most_differences(n, max(n, largest), num, den)  # with any partner in this band
         for turn in range(ROUNDS):
             salt = np.uint64(((band * 64 + turn + 1) * 0xD6E8FEB86659FD93) & _M)
             e = mix64(s + salt)
             part = ((e >> np.uint64(32)) * np.uint64(n1) >> np.uint64(32)).astype(np.int64)
             count = np.bincount(part, minlength=n1)
-            lo = np.zeros(n1, np.uint64)
-            np.add.at(lo, part, mix64(e)) if n1 < 64 else None
-            if n1 >= 64:
-                order = np.argsort(part, kind="stable")
-                run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(e)[order], dtype=np.uint64)))
-                at = np.concatenate(([0], np.cumsum(count)))
-                lo = run[at[1:]] - run[at[:-1]]
-            sig = mix64(lo + mix64(np.arange(n1, dtype=np.uint64) + salt))
+            order = np.argsort(part, kind="stable")
+            run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(e)[order], dtype=np.uint64)))
+            at = np.concatenate(([0], np.cumsum(count)))
+            sig = mix64(run[at[1:]] - run[at[:-1]] + mix64(np.arange(n1, dtype=np.uint64) + salt))
             weak = count < WEAK
             lucky = int(weak.sum()) < n1 - h
             out.append(sig if turn == ROUNDS - 1 and not lucky else sig[~weak])
+            if turn == 0:
+                need = min(need, n1 - own - int(weak.sum())) if lucky else 1
             if lucky:
                 break
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    return np.concatenate(out), max(1, need)
 
 
-def _combine(sig: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows (signature, smallest key, key) with each (signature, key) once, in
-    order; alone: whether the signature has one key only."""
+def _shared(sig: np.ndarray, key: np.ndarray, n: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows (signature, key, n, need), each once, of signatures with several keys."""
     order = np.lexsort((key, sig))
-    sig, key = sig[order], key[order]
+    sig, key, n, need = sig[order], key[order], n[order], need[order]
     new = np.ones(len(sig), bool)
     new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
-    sig, key = sig[new], key[new]
-    first = np.ones(len(sig), bool)
-    first[1:] = sig[1:] != sig[:-1]
-    rep = key[np.flatnonzero(first)][np.cumsum(first) - 1] if len(sig) else key
-    return sig, rep, key
+    sig, key, n, need = sig[new], key[new], n[new], need[new]
+    several = np.zeros(len(sig), bool)
+    same = sig[1:] == sig[:-1]
+    several[1:] |= same
+    several[:-1] |= same
+    return sig[several], key[several], n[several], need[several]
 
 
 def _emit(width: int, num: int, den: int, fan: int):
-    """Map side: packed (signature, key) by bin ``p``, combined per flush.  A
-    signature's further members in a flush go as pairs with its first."""
+    """Map side: signatures packed by bin ``p``: six bytes each, with the
+    document's place in the row's own list of keys and set sizes.
+
+    A text that a task has seen is not sent again.  Shortened signatures can
+    only add candidates, all of which are verified."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, keys, seen, held = [], [], set(), 0
+        sigs, owners, keys, sizes, needs, seen, held = [], [], [], [], [], set(), 0
 
-        def flush() -> pa.RecordBatch | None:
+        def flush() -> pa.RecordBatch:
             nonlocal held
-            if not sigs:
-                return None
-            sig, rep, key = _combine(np.concatenate(sigs), np.concatenate(keys))
-            sigs.clear(), keys.clear()
+            sig, owner = np.concatenate(sigs), np.concatenate(owners)
+            key, size, need = np.array(keys, np.int64), np.array(sizes, np.int32), np.array(needs, np.int32)
+            for x in (sigs, owners, keys, sizes, needs):
+                x.clear()
             held = 0
             p = (mix64(sig) % np.uint64(fan)).astype(np.int64)
             order = np.argsort(p, kind="stable")
-            p, sig, rep, key = p[order], sig[order], rep[order], key[order]
+            p, sig, owner = p[order], sig[order], owner[order]
             at = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
-            ends = np.append(at[1:], len(p))
             rows = []
-            for a, b in zip(at, ends):
-                rest = rep[a:b] != key[a:b]
-                x = slice(a, b)
-                rows.append((int(p[a]), sig[x][~rest].tobytes(), key[x][~rest].tobytes(), sig[x][rest].tobytes(), rep[x][rest].tobytes(), key[x][rest].tobytes()))
+            for a, b in zip(at, np.append(at[1:], len(p))):
+                mine, place = np.unique(owner[a:b], return_inverse=True)
+                short = sig[a:b].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+                rows.append((int(p[a]), short, place.astype(np.uint16).tobytes(), key[mine].tobytes(), size[mine].tobytes(), need[mine].tobytes()))
             cols = list(zip(*rows))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64())] + [pa.array(c, pa.binary()) for c in cols[1:]], names=["p", "sig", "key", "m_sig", "m_rep", "m_key"]
-            )
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64())] + [pa.array(c, pa.binary()) for c in cols[1:]], names=["p", "sig", "place", "key", "n", "need"])
 
         for batch in batches:
             ids = batch.column("k").to_numpy(zero_copy_only=False)
@@ -240,56 +243,58 @@ def _emit(width: int, num: int, den: int, fan: int):
             chosen = batch.column("text").filter(pa.array(fresh))
             ids = ids[fresh]
             for start, sets in shingle_sets(chosen, width):
-                for n, s in enumerate(sets):
+                for i, s in enumerate(sets):
                     if len(s):
-                        g = signatures(s, num, den)
+                        g, need = signatures(s, num, den)
                         sigs.append(g)
-                        keys.append(np.full(len(g), ids[start + n], np.int64))
+                        owners.append(np.full(len(g), len(keys), np.int32))
+                        keys.append(int(ids[start + i]))
+                        sizes.append(len(s))
+                        needs.append(need)
                         held += len(g)
-                if held >= FLUSH and (out := flush()) is not None:
-                    yield out
-        if (out := flush()) is not None:
-            yield out
+                        if held >= FLUSH or len(keys) == 1 << 16:
+                            yield flush()
+        if keys:
+            yield flush()
 
     return run
 
 
-_MEMBER = pa.schema([("sig", pa.int64()), ("rep", pa.int64()), ("key", pa.int64())])
+_MEMBER = pa.schema([("sig", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("need", pa.int64())])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce side: (sig, rep, key) of signatures with two keys or more.
+    """Reduce side: (sig, key, n, need) of signatures that several keys have.
 
     Bins arrive sorted, so one bin is held at a time."""
 
-    def close(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        cat = lambda n, kind: np.concatenate([np.frombuffer(x[n], kind) for x in parts])
-        sig, rep, key = _combine(cat(0, np.uint64), cat(1, np.int64))
-        m_sig, m_rep, m_key = cat(2, np.uint64), cat(3, np.int64), cat(4, np.int64)
-        again = np.zeros(len(sig), bool)  # is the signature shared?
-        if len(sig):
-            same = sig[1:] == sig[:-1]
-            again[1:] |= same
-            again[:-1] |= same
-        if len(m_sig) and len(sig):
-            known = np.unique(m_sig)
-            at = np.minimum(np.searchsorted(known, sig), len(known) - 1)
-            again |= known[at] == sig
-        sig, rep, key = np.concatenate((sig[again], m_sig)), np.concatenate((rep[again], m_rep)), np.concatenate((key[again], m_key))
+    def close(p: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        sig, key, n, need = [], [], [], []
+        for short, place, own, size, least in parts:
+            six = np.frombuffer(short, np.uint8).reshape(-1, 6)
+            full = np.zeros((len(six), 8), np.uint8)
+            full[:, :6] = six
+            sig.append(full.view(np.uint64).ravel())
+            place = np.frombuffer(place, np.uint16)
+            key.append(np.frombuffer(own, np.int64)[place])
+            n.append(np.frombuffer(size, np.int32)[place])
+            need.append(np.frombuffer(least, np.int32)[place])
+        sig, key, n, need = _shared(np.concatenate(sig), np.concatenate(key), np.concatenate(n), np.concatenate(need))
+        sig = mix64(sig + mix64(np.array([p], np.uint64)))  # another bin's equal short form is another signature
         for a in range(0, len(sig), 100_000):
             x = slice(a, a + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(sig[x].view(np.int64)), pa.array(rep[x]), pa.array(key[x])], schema=_MEMBER)
+            yield pa.RecordBatch.from_arrays([pa.array(sig[x].view(np.int64)), pa.array(key[x]), pa.array(n[x].astype(np.int64)), pa.array(need[x].astype(np.int64))], schema=_MEMBER)
 
     at, parts = None, []
     for batch in batches:
-        for row in zip(*[batch.column(n).to_pylist() for n in ("p", "sig", "key", "m_sig", "m_rep", "m_key")]):
+        for row in zip(*[batch.column(c).to_pylist() for c in ("p", "sig", "place", "key", "n", "need")]):
             if row[0] != at and parts:
-                yield from close(parts)
+                yield from close(at, parts)
                 parts = []
             at = row[0]
             parts.append(row[1:])
     if parts:
-        yield from close(parts)
+        yield from close(at, parts)
 
 
 def _sets(width: int, with_set: bool):
@@ -310,98 +315,137 @@ def _sets(width: int, with_set: bool):
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, both, na, nb) of pairs of packed sets."""
+    """(hub, key, both, nh, nk) of pairs of packed sets."""
     for batch in batches:
-        both, na, nb = [], [], []
-        for x, y in zip(batch.column("sa"), batch.column("sb")):
+        both, nh, nk = [], [], []
+        for x, y in zip(batch.column("sh"), batch.column("sk")):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             at = np.minimum(np.searchsorted(y, x), len(y) - 1)
             both.append(int((y[at] == x).sum()))
-            na.append(len(x))
-            nb.append(len(y))
+            nh.append(len(x))
+            nk.append(len(y))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), pa.array(na, pa.int64()), pa.array(nb, pa.int64())], names=["a", "b", "both", "na", "nb"]
+            [batch.column("hub"), batch.column("key"), pa.array(both, pa.int64()), pa.array(nh, pa.int64()), pa.array(nk, pa.int64())], names=["hub", "key", "both", "nh", "nk"]
         )
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Overlap and sizes of each pair (a, b)."""
-    left = sets.select(F.col("k").alias("a"), F.col("s").alias("sa"))
-    right = sets.select(F.col("k").alias("b"), F.col("s").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_overlaps, "a long, b long, both long, na long, nb long")
+    """Overlap and sizes of each pair (hub, key).  The key's set travels to the
+    hub's, so a set moves once per pair it is in, as its key."""
+    keys = sets.select(F.col("k").alias("key"), F.col("s").alias("sk"))
+    hubs = sets.select(F.col("k").alias("hub"), F.col("s").alias("sh"))
+    return pairs.join(keys, "key").join(hubs, "hub").select("hub", "key", "sh", "sk").mapInArrow(_overlaps, "hub long, key long, both long, nh long, nk long")
 
 
-def class_links(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """For rows (k, text), equal k meaning equal text: verified links (a, b),
-    candidate counts aside, and the size n of each k's set.
+def class_links(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+    """Verified links (a, b) for rows (k, text), equal k meaning equal text.
 
-    The links connect exactly the texts that all links would connect."""
+    They connect exactly the texts that all links would connect."""
     spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    arrow_batches(spark, 1000)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fan = max(64, 8 * parts)
-    packed = docs.mapInArrow(_emit(width, num, den, fan), "p long, sig binary, key binary, m_sig binary, m_rep binary, m_key binary")
-    met = packed.repartition(parts, "p").sortWithinPartitions("p").mapInArrow(_meet, "sig long, rep long, key long")
+    packed = docs.mapInArrow(_emit(width, num, den, max(64, 4 * parts)), "p long, sig binary, place binary, key binary, n binary, need binary")
+    met = packed.repartition(parts, "p").sortWithinPartitions("p").mapInArrow(_meet, "sig long, key long, n long, need long")
     members = materialize(met, "jaccard-members")
-    pairs = materialize(members.where("rep <> key").select(F.least("rep", "key").alias("a"), F.greatest("rep", "key").alias("b")).distinct(), "jaccard-pairs")
-    keys = materialize(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "jaccard-keys")
-    wanted = docs.join(keys, "k", "left_semi").dropDuplicates(["k"])
+    # a set that shares fewer signatures than a similar one must is out
+    shares = members.groupBy("key", "n", "need").agg(F.count("*").alias("degree"))
+    degree = materialize(shares.where("degree >= need").select("key", "degree"), "jaccard-degrees")
+    # hubs: of a signature's members, the one that shares most signatures
+    members = materialize(members.join(degree, "key").select("sig", "key", "n", "degree"), "jaccard-left")
+    hubs = members.groupBy("sig").agg(F.max(F.struct("degree", "key", "n")).alias("hub"), F.count("*").alias("m")).where("m > 1")
+    members = members.drop("degree")
+    starred = members.join(hubs.select("sig", F.col("hub.key").alias("hub"), F.col("hub.n").alias("nh")), "sig")
+    starred = materialize(starred, "jaccard-stars")
+    alike = F.least("n", "nh") * den >= F.greatest("n", "nh") * num
+    pairs = materialize(starred.where((F.col("hub") != F.col("key")) & alike).select("hub", "key").distinct(), "jaccard-pairs")
+    wanted = docs.join(degree.select(F.col("key").alias("k")), "k", "left_semi").dropDuplicates(["k"])
     sets = materialize(wanted.mapInArrow(_sets(width, True), "k long, n long, s binary"), "jaccard-sets")
-    close = F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num
+    close = F.col("both") * den >= (F.col("nh") + F.col("nk") - F.col("both")) * num
     checked = materialize(verify(pairs, sets), "jaccard-checked")
-    links = checked.where(close).select("a", "b")
-    links = materialize(links.unionByName(residual_links(members, checked, links, sets, num, den)), "jaccard-links")
-    return links, members, sets
+    links = checked.where(close).select(F.col("hub").alias("a"), F.col("key").alias("b"))
+    return materialize(links.unionByName(residual_links(starred, checked, links, sets, num, den)), "jaccard-links")
 
 
-def residual_links(members: DataFrame, checked: DataFrame, links: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links that the pairs with smallest members have not led to: across the
-    components that are left under a shared signature."""
+def residual_links(starred: DataFrame, checked: DataFrame, links: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links that the pairs with hubs have not led to: across the components
+    that are left under a shared signature."""
     comp = connected_components(links).withColumnRenamed("node", "key")
-    spread = members.join(comp, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    open_sigs = spread.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    # distance of every member to its signature's representative
-    far = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-    dist = checked.select("a", "b", far.alias("d"))
-    inside = spread.join(open_sigs.select("sig"), "sig")
-    inside = inside.withColumns({"a": F.least("rep", "key"), "b": F.greatest("rep", "key")}).join(dist, ["a", "b"], "left").select(
-        "sig", "rep", "key", "component", F.when(F.col("rep") == F.col("key"), 0.0).otherwise(F.col("d")).alias("d")
-    )
-    inside = materialize(inside, "jaccard-open")
-    # the component of the representative is the main one; outsiders meet all
-    head = inside.where("rep = key").select("sig", F.col("component").alias("main"))
-    head = head.groupBy("sig").agg(F.min("main").alias("main"))
-    outside = inside.join(head, "sig").where("component <> main").select("sig", F.col("rep").alias("rep2"), F.col("key").alias("key2"), F.col("component").alias("component2"), F.col("d").alias("d2"))
+    spread = starred.join(comp, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    spread = materialize(spread, "jaccard-spread")
+    open_sigs = spread.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sig")
+    inside = spread.join(materialize(open_sigs, "jaccard-open"), "sig")
+    # distance of every member to its signature's hub, where that was measured
+    far = 1 - F.col("both") / (F.col("nh") + F.col("nk") - F.col("both"))
+    inside = inside.join(checked.select("hub", "key", far.alias("d")), ["hub", "key"], "left")
+    inside = materialize(inside.withColumn("d", F.when(F.col("hub") == F.col("key"), 0.0).otherwise(F.col("d"))), "jaccard-inside")
+    # the component of the hub is the main one; the others' members meet all
+    main = inside.where("hub = key").select("sig", F.col("component").alias("main"))
+    others = inside.join(main, "sig").where("component <> main").select("sig", F.col("key").alias("key2"), F.col("component").alias("component2"), F.col("n").alias("n2"), F.col("d").alias("d2"))
     near = (den - num) / den + 1e-9
-    other = inside.join(outside, "sig").where((F.col("component") != F.col("component2")) & ((F.col("rep") != F.col("rep2")) | (F.abs(F.col("d") - F.col("d2")) <= near)))
-    pairs = other.select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).distinct()
-    pairs = materialize(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-open-pairs")
-    close = F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num
-    return verify(pairs, sets).where(close).select("a", "b")
+    alike = F.least("n", "n2") * den >= F.greatest("n", "n2") * num
+    apart = F.abs(F.col("d") - F.col("d2")) > near  # by the triangle inequality
+    met = inside.join(others, "sig").where((F.col("component") != F.col("component2")) & alike & ~F.coalesce(apart, F.lit(False)))
+    pairs = met.select(F.greatest("key", "key2").alias("hub"), F.least("key", "key2").alias("key")).distinct()
+    done = checked.select(F.greatest("hub", "key").alias("hub"), F.least("hub", "key").alias("key"))
+    pairs = materialize(pairs.join(done, ["hub", "key"], "left_anti"), "jaccard-open-pairs")
+    close = F.col("both") * den >= (F.col("nh") + F.col("nk") - F.col("both")) * num
+    return verify(pairs, sets).where(close).select(F.col("hub").alias("a"), F.col("key").alias("b"))
 
 
 def text_keys(text: str = "text"):
     return F.xxhash64(F.lit("jaccard"), F.coalesce(F.col(text), F.lit("")))
 
 
+def classes_of(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """From rows (doc_id, text): slim rows (doc_id, k, n), and the class c of
+    every k whose text has words."""
+    keyed = docs.withColumn("k", text_keys())
+    links = class_links(keyed.select("k", "text"), width, num, den)
+    slim = keyed.select("doc_id", "k", "text").mapInArrow(_slim(width), f"doc_id {dict(docs.dtypes)['doc_id']}, k long, n long")
+    slim = materialize(slim, "jaccard-slim")
+    comp = connected_components(links).withColumnRenamed("node", "k")
+    first = slim.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("least"))
+    classes = first.join(comp, "k", "left").select("k", "least", F.coalesce("component", "k").alias("c"))
+    return slim, materialize(classes, "jaccard-classes")
+
+
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).withColumn("k", text_keys())
-    links, _, _ = class_links(keyed.select("k", "text"), width, num, den)
-    sizes = keyed.select("doc_id", "k", "text").mapInArrow(_slim(width), "doc_id long, k long, n long")
-    slim = materialize(sizes, "jaccard-slim")
-    comp = connected_components(links)
-    first = slim.groupBy("k").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
-    # texts without words stand alone; equal texts with words are one class
-    classes = first.join(comp.withColumnRenamed("node", "k"), "k", "left").select("k", "least", "n", F.coalesce("component", "k").alias("c"))
-    classes = materialize(classes, "jaccard-classes")
+    slim, classes = classes_of(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), width, num, den)
     least = classes.groupBy("c").agg(F.min("least").alias("component_id"))
     named = materialize(classes.join(least, "c").select("k", "component_id"), "jaccard-named")
-    return slim.join(named, "k").select(
+    return slim.join(named, "k", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
+#: Up to this many rejected rows (some 16 bytes each) are broadcast.
+BROADCAST_ROWS = 2_000_000
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest id (nulls
+    last), of the smallest text key among equals.  Rows without words stay."""
+    slim, classes = classes_of(docs.select("doc_id", "text"), width, num, den)
+    placed = slim.where("n > 0").join(classes.select("k", "c"), "k")
+    entry = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")
+    best = placed.groupBy("c").agg(F.min(entry).alias("best"))
+    kept = best.select(F.col("best.doc_id").alias("best_id"), F.col("best.k").alias("best_k"), "c")
+    judged = placed.join(kept, "c")
+    out = materialize(
+        judged.where((F.col("k") != F.col("best_k")) | ~F.col("doc_id").eqNullSafe(F.col("best_id"))).select(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).distinct(), "near-dropped"
+    )
+    recurring = placed.groupBy("doc_id", "k").agg(F.count("*").alias("m")).where("m > 1")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    whole = docs.select(row, F.col("doc_id").alias("_doc"), text_keys().alias("_key"))
+    gone = F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
+    left = whole.join(gone, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left_anti")
+    if recurring.limit(1).count():  # rows that recur whole: one stays, if they have words
+        words = F.regexp_count(F.col("_row.text"), F.lit(r"[^\x20\x09-\x0D]")) > 0
+        left = left.where(words).dropDuplicates(["_doc", "_key"]).unionByName(left.where(~F.coalesce(words, F.lit(False))))
+    return left.select("_row.*")
+
+
 def _slim(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridloom.llm.text import WORD, fresh, sql_string
+from gridloom.llm.text import WORD, fresh
 from gridloom.plans.staging import materialize
 
 SYMBOLS = r"[#*$%&|<>]"

@@ -21,8 +21,6 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridloom.llm.text import sql_string
-
 
 def _either_case(words: str) -> str:
     return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)

@@ -9,11 +9,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def sql_string(pattern: str) -> str:
-    """``pattern`` as a SQL string literal for Spark's parser."""
-    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def word_count(text: Column | str) -> Column:
     """Number of words; 0 for null."""
     col = F.col(text) if isinstance(text, str) else text

@@ -20,9 +20,10 @@ sets share a signature, each is paired with the group's hub (the member that
 shares most signatures over all), never with all others.  Pairs are verified
 exactly.  Similar sets share many signatures, at least n1 - H less
 the weak ones, so a set that shares fewer with all others together is dropped
-first: a passage that many texts quote makes no pairs.  A signature whose sets are still in more than one
-component afterwards is settled by the pairs across components, less those that
-the triangle inequality of Jaccard distance rules out.  Components come from
+first: a passage that many texts quote makes no pairs.  Members
+of one hub's star that are still in different components are then joined on
+their differences to the hub, with prefix and length filters (residual_links),
+so siblings that are merely near each other make no pairs.  Components come from
 alternating large-star and small-star steps, on pairs only.
 
 Edge cases: null texts and texts without words have an empty set and stand
@@ -314,27 +315,27 @@ def _sets(width: int, with_set: bool):
     return run
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hub, key, both, nh, nk) of pairs of packed sets."""
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hub, key, nh, nk, d) of pairs of packed sets; d lists what the sets
+    differ in: the key's own elements in order, then the hub's in order."""
     for batch in batches:
-        both, nh, nk = [], [], []
+        nh, nk, d = [], [], []
         for x, y in zip(batch.column("sh"), batch.column("sk")):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both.append(int((y[at] == x).sum()))
             nh.append(len(x))
             nk.append(len(y))
+            d.append(np.concatenate((np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True))).view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("hub"), batch.column("key"), pa.array(both, pa.int64()), pa.array(nh, pa.int64()), pa.array(nk, pa.int64())], names=["hub", "key", "both", "nh", "nk"]
+            [batch.column("hub"), batch.column("key"), pa.array(nh, pa.int64()), pa.array(nk, pa.int64()), pa.array(d, pa.list_(pa.int64()))], names=["hub", "key", "nh", "nk", "d"]
         )
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Overlap and sizes of each pair (hub, key).  The key's set travels to the
+    """Differences and sizes of each pair (hub, key).  The key's set travels to the
     hub's, so a set moves once per pair it is in, as its key."""
     keys = sets.select(F.col("k").alias("key"), F.col("s").alias("sk"))
     hubs = sets.select(F.col("k").alias("hub"), F.col("s").alias("sh"))
-    return pairs.join(keys, "key").join(hubs, "hub").select("hub", "key", "sh", "sk").mapInArrow(_overlaps, "hub long, key long, both long, nh long, nk long")
+    return pairs.join(keys, "key").join(hubs, "hub").select("hub", "key", "sh", "sk").mapInArrow(_differences, "hub long, key long, nh long, nk long, d array<long>")
 
 
 def class_links(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -356,40 +357,60 @@ def class_links(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100)
     members = members.drop("degree")
     starred = members.join(hubs.select("sig", F.col("hub.key").alias("hub"), F.col("hub.n").alias("nh")), "sig")
     starred = materialize(starred, "jaccard-stars")
-    alike = F.least("n", "nh") * den >= F.greatest("n", "nh") * num
-    pairs = materialize(starred.where((F.col("hub") != F.col("key")) & alike).select("hub", "key").distinct(), "jaccard-pairs")
+    pairs = materialize(starred.where(F.col("hub") != F.col("key")).select("hub", "key").distinct(), "jaccard-pairs")
     wanted = docs.join(degree.select(F.col("key").alias("k")), "k", "left_semi").dropDuplicates(["k"])
     sets = materialize(wanted.mapInArrow(_sets(width, True), "k long, n long, s binary"), "jaccard-sets")
-    close = F.col("both") * den >= (F.col("nh") + F.col("nk") - F.col("both")) * num
-    checked = materialize(verify(pairs, sets), "jaccard-checked")
-    links = checked.where(close).select(F.col("hub").alias("a"), F.col("key").alias("b"))
-    return materialize(links.unionByName(residual_links(starred, checked, links, sets, num, den)), "jaccard-links")
-
-
-def residual_links(starred: DataFrame, checked: DataFrame, links: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links that the pairs with hubs have not led to: across the components
-    that are left under a shared signature."""
-    comp = connected_components(links).withColumnRenamed("node", "key")
-    spread = starred.join(comp, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    spread = materialize(spread, "jaccard-spread")
-    open_sigs = spread.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("sig")
-    inside = spread.join(materialize(open_sigs, "jaccard-open"), "sig")
-    # distance of every member to its signature's hub, where that was measured
-    far = 1 - F.col("both") / (F.col("nh") + F.col("nk") - F.col("both"))
-    inside = inside.join(checked.select("hub", "key", far.alias("d")), ["hub", "key"], "left")
-    inside = materialize(inside.withColumn("d", F.when(F.col("hub") == F.col("key"), 0.0).otherwise(F.col("d"))), "jaccard-inside")
-    # the component of the hub is the main one; the others' members meet all
-    main = inside.where("hub = key").select("sig", F.col("component").alias("main"))
-    others = inside.join(main, "sig").where("component <> main").select("sig", F.col("key").alias("key2"), F.col("component").alias("component2"), F.col("n").alias("n2"), F.col("d").alias("d2"))
-    near = (den - num) / den + 1e-9
-    alike = F.least("n", "n2") * den >= F.greatest("n", "n2") * num
-    apart = F.abs(F.col("d") - F.col("d2")) > near  # by the triangle inequality
-    met = inside.join(others, "sig").where((F.col("component") != F.col("component2")) & alike & ~F.coalesce(apart, F.lit(False)))
-    pairs = met.select(F.greatest("key", "key2").alias("hub"), F.least("key", "key2").alias("key")).distinct()
-    done = checked.select(F.greatest("hub", "key").alias("hub"), F.least("hub", "key").alias("key"))
-    pairs = materialize(pairs.join(done, ["hub", "key"], "left_anti"), "jaccard-open-pairs")
-    close = F.col("both") * den >= (F.col("nh") + F.col("nk") - F.col("both")) * num
-    return verify(pairs, sets).where(close).select(F.col("hub").alias("a"), F.col("key").alias("b"))
+    limit = _limit(F.col("nh"), F.col("nk"), num, den)
+    stars = materialize(verify(pairs, sets).withColumn("linked", F.size("d") <= limit), "jaccard-checked")
+    links = stars.where("linked").select(F.col("hub").alias("a"), F.col("key").alias("b"))
+    return materialize(links.unionByName(residual_links(stars, links, num, den)), "jaccard-links")
+
+
+def _limit(a, b, num: int, den: int):
+    """Most differences of linked sets of a and b elements, as a column."""
+    return F.floor((a + b) * (den - num) / (den + num))
+
+
+def residual_links(stars: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
+    """Links that the pairs with hubs have not led to.
+
+    Two sets that share a signature share its hub, so such a link lies between
+    two members x, y of one hub's star, in different components; at least x is
+    not linked with the hub.  What x and y differ in is the symmetric difference
+    of their differences Dx and Dy to the hub, so Dx and Dy must have at least
+    (|Dx| + |Dy| - limit) / 2 elements in common, which is half of Dy or more,
+    as |Dx| exceeds the hub's limit.  By the prefix filter it is enough that
+    they meet in the first |Dy| - half + 1 elements of Dy.  The order puts
+    elements that the hub lacks first: few others have them.
+    """
+    comp = connected_components(links)
+    own = comp.select(F.col("node").alias("key"), F.col("component").alias("own"))
+    main = comp.select(F.col("node").alias("hub"), F.col("component").alias("main"))
+    extra = F.floor(F.greatest(F.col("nk") - F.col("nh"), F.lit(0)) * (den - num) / (den + num))
+    half = F.ceil((F.size("d") - extra) / 2)
+    stars = stars.join(own, "key", "left").join(main, "hub", "left").select(
+        "hub", "key", F.col("nk").alias("n"), "d", "linked", F.size("d").alias("dn"), F.coalesce("own", "key").alias("own"), F.coalesce("main", "hub").alias("main"),
+        F.greatest(F.size("d") - half + 1, F.lit(0)).cast("int").alias("p"),
+    )
+    stars = materialize(stars, "jaccard-stars")
+    open_hubs = materialize(stars.where("not linked and own <> main").select("hub").distinct(), "jaccard-open")
+    stars = stars.join(open_hubs, "hub", "left_semi")
+    outside = stars.where("not linked")
+    short = F.slice("d", F.lit(1), F.col("p"))
+
+    def spread(rows: DataFrame, elements, tag: str) -> DataFrame:
+        return rows.select("hub", F.explode(elements).alias("e"), *[F.col(c).alias(c + tag) for c in ("key", "n", "dn", "own")])
+
+    differs = (F.col("ownx") != F.col("owny")) & (F.abs(F.col("dnx") - F.col("dny")) <= _limit(F.col("nx"), F.col("ny"), num, den))
+    whole = spread(outside.where("own <> main"), F.col("d"), "x")
+    with_linked = whole.join(spread(stars.where("linked"), short, "y"), ["hub", "e"]).where(differs)
+    both_out = spread(outside, short, "x").join(spread(outside, short, "y"), ["hub", "e"]).where(differs & (F.col("keyx") < F.col("keyy")))
+    cols = ["hub", "keyx", "keyy"]
+    pairs = materialize(with_linked.select(*cols).unionByName(both_out.select(*cols)).distinct(), "jaccard-open-pairs")
+    side = lambda t: stars.select("hub", *[F.col(c).alias(c + t) for c in ("key", "n", "d")])
+    seen = pairs.join(side("x"), ["hub", "keyx"]).join(side("y"), ["hub", "keyy"])
+    apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
+    return seen.where(apart <= _limit(F.col("nx"), F.col("ny"), num, den)).select(F.col("keyx").alias("a"), F.col("keyy").alias("b"))
 
 
 def text_keys(text: str = "text"):

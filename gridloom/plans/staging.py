@@ -36,7 +36,17 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``materialize`` once all that reads them is written."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def arrow_batches(spark: SparkSession, rows: int, size: str = "32m") -> None:

@@ -16,9 +16,9 @@ so.  After the last round such a set also emits its weak signatures.  Sets too
 small to differ in anything are joined by equality.
 
 Signatures travel as packed arrays, and a task sends equal texts once.  Where
-sets share a signature, each is paired with the group's hub (the member that
-shares most signatures over all), never with all others.  Pairs are verified
-exactly.  Similar sets share many signatures, at least n1 - H less
+sets share a signature, each is paired with the group's hub (the member whose
+signatures have most members in all, so what most of a group has is what its
+hub has), never with all others.  Pairs are verified exactly.  Similar sets share many signatures, at least n1 - H less
 the weak ones, so a set that shares fewer with all others together is dropped
 first: a passage that many texts quote makes no pairs.  Members
 of one hub's star that are still in different components are then joined on
@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridloom.plans.components import connected_components
-from gridloom.plans.staging import arrow_batches, materialize
+from gridloom.plans.staging import arrow_batches, discard, materialize
 
 #: Ratio of a band's largest to its smallest size.
 BAND = 1.25
@@ -194,17 +194,17 @@ def signatures(s: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
 
 
 def _shared(sig: np.ndarray, key: np.ndarray, n: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Rows (signature, key, n, need), each once, of signatures with several keys."""
+    """Rows (signature, key, n, need, m), each once, of signatures with m > 1 keys."""
     order = np.lexsort((key, sig))
     sig, key, n, need = sig[order], key[order], n[order], need[order]
     new = np.ones(len(sig), bool)
     new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
     sig, key, n, need = sig[new], key[new], n[new], need[new]
-    several = np.zeros(len(sig), bool)
-    same = sig[1:] == sig[:-1]
-    several[1:] |= same
-    several[:-1] |= same
-    return sig[several], key[several], n[several], need[several]
+    first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+    length = np.diff(np.append(first, len(sig)))
+    m = np.repeat(length, length)
+    several = m > 1
+    return sig[several], key[several], n[several], need[several], m[several]
 
 
 def _emit(width: int, num: int, den: int, fan: int):
@@ -261,11 +261,11 @@ def _emit(width: int, num: int, den: int, fan: int):
     return run
 
 
-_MEMBER = pa.schema([("sig", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("need", pa.int64())])
+_MEMBER = pa.schema([("sig", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("need", pa.int64()), ("m", pa.int64())])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce side: (sig, key, n, need) of signatures that several keys have.
+    """Reduce side: (sig, key, n, need, m) of signatures that m > 1 keys have.
 
     Bins arrive sorted, so one bin is held at a time."""
 
@@ -280,11 +280,11 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key.append(np.frombuffer(own, np.int64)[place])
             n.append(np.frombuffer(size, np.int32)[place])
             need.append(np.frombuffer(least, np.int32)[place])
-        sig, key, n, need = _shared(np.concatenate(sig), np.concatenate(key), np.concatenate(n), np.concatenate(need))
+        sig, key, n, need, m = _shared(np.concatenate(sig), np.concatenate(key), np.concatenate(n), np.concatenate(need))
         sig = mix64(sig + mix64(np.array([p], np.uint64)))  # another bin's equal short form is another signature
         for a in range(0, len(sig), 100_000):
             x = slice(a, a + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(sig[x].view(np.int64)), pa.array(key[x]), pa.array(n[x].astype(np.int64)), pa.array(need[x].astype(np.int64))], schema=_MEMBER)
+            yield pa.RecordBatch.from_arrays([pa.array(sig[x].view(np.int64)), pa.array(key[x]), pa.array(n[x].astype(np.int64)), pa.array(need[x].astype(np.int64)), pa.array(m[x].astype(np.int64))], schema=_MEMBER)
 
     at, parts = None, []
     for batch in batches:
@@ -346,24 +346,25 @@ def class_links(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100)
     arrow_batches(spark, 1000)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.mapInArrow(_emit(width, num, den, max(64, 4 * parts)), "p long, sig binary, place binary, key binary, n binary, need binary")
-    met = packed.repartition(parts, "p").sortWithinPartitions("p").mapInArrow(_meet, "sig long, key long, n long, need long")
-    members = materialize(met, "jaccard-members")
+    met = packed.repartition(parts, "p").sortWithinPartitions("p").mapInArrow(_meet, "sig long, key long, n long, need long, m long")
+    members_table = members = materialize(met, "jaccard-members")
     # a set that shares fewer signatures than a similar one must is out
-    shares = members.groupBy("key", "n", "need").agg(F.count("*").alias("degree"))
-    degree = materialize(shares.where("degree >= need").select("key", "degree"), "jaccard-degrees")
-    # hubs: of a signature's members, the one that shares most signatures
-    members = materialize(members.join(degree, "key").select("sig", "key", "n", "degree"), "jaccard-left")
-    hubs = members.groupBy("sig").agg(F.max(F.struct("degree", "key", "n")).alias("hub"), F.count("*").alias("m")).where("m > 1")
-    members = members.drop("degree")
-    starred = members.join(hubs.select("sig", F.col("hub.key").alias("hub"), F.col("hub.n").alias("nh")), "sig")
-    starred = materialize(starred, "jaccard-stars")
+    shares = members.groupBy("key", "need").agg(F.count("*").alias("shared"), F.sum("m").alias("fame"))
+    left = materialize(shares.where("shared >= need").select("key", "fame"), "jaccard-left")
+    # hubs: of a signature's members, the one in the largest company over all
+    members = members.join(left, "key").select("sig", "key", "fame")
+    hubs = members.groupBy("sig").agg(F.max(F.struct("fame", "key")).alias("hub"), F.count("*").alias("m")).where("m > 1")
+    starred = members.select("sig", "key").join(hubs.select("sig", F.col("hub.key").alias("hub")), "sig")
     pairs = materialize(starred.where(F.col("hub") != F.col("key")).select("hub", "key").distinct(), "jaccard-pairs")
-    wanted = docs.join(degree.select(F.col("key").alias("k")), "k", "left_semi").dropDuplicates(["k"])
+    discard(members_table)
+    wanted = docs.join(left.select(F.col("key").alias("k")), "k", "left_semi").dropDuplicates(["k"])
     sets = materialize(wanted.mapInArrow(_sets(width, True), "k long, n long, s binary"), "jaccard-sets")
-    limit = _limit(F.col("nh"), F.col("nk"), num, den)
-    stars = materialize(verify(pairs, sets).withColumn("linked", F.size("d") <= limit), "jaccard-checked")
-    links = stars.where("linked").select(F.col("hub").alias("a"), F.col("key").alias("b"))
-    return materialize(links.unionByName(residual_links(stars, links, num, den)), "jaccard-links")
+    stars = materialize(verify(pairs, sets).withColumn("linked", F.size("d") <= _limit(F.col("nh"), F.col("nk"), num, den)), "jaccard-checked")
+    discard(pairs, sets, left)
+    links = materialize(stars.where("linked").select(F.col("hub").alias("a"), F.col("key").alias("b")), "jaccard-links")
+    rest = materialize(residual_links(stars, links, num, den), "jaccard-rest")
+    discard(stars)
+    return links.unionByName(rest)
 
 
 def _limit(a, b, num: int, den: int):
@@ -376,37 +377,53 @@ def residual_links(stars: DataFrame, links: DataFrame, num: int, den: int) -> Da
 
     Two sets that share a signature share its hub, so such a link lies between
     two members x, y of one hub's star, in different components; at least x is
-    not linked with the hub.  What x and y differ in is the symmetric difference
-    of their differences Dx and Dy to the hub, so Dx and Dy must have at least
-    (|Dx| + |Dy| - limit) / 2 elements in common, which is half of Dy or more,
-    as |Dx| exceeds the hub's limit.  By the prefix filter it is enough that
-    they meet in the first |Dy| - half + 1 elements of Dy.  The order puts
-    elements that the hub lacks first: few others have them.
+    not linked with the hub.  Let Ax be what x has and the hub lacks, Bx what
+    the hub has and x lacks.  x and y differ in the symmetric differences of
+    Ax, Ay and of Bx, By, at most L elements together.
+
+    * If Ax and Ay meet, they do so in their first L + 1 elements (prefix
+      filter: each leaves at most L outside of the other).
+    * If they don't, |Ax| + |Ay| + ||Bx| - |By|| <= L, while |Ax| + |Bx| is over
+      the hub's limit.  It follows that |By| > |Ay|: y is smaller than the hub.
+      Then Bx and By share over half of |Ay| + |By| elements, and at least
+      |Ax| + |Bx| - L.
+
+    Sets that differ from the hub in replaced words are as large as the hub, so
+    only the first case is theirs, and there a pair comes from elements that
+    both have and most of the group has not.
     """
     comp = connected_components(links)
     own = comp.select(F.col("node").alias("key"), F.col("component").alias("own"))
     main = comp.select(F.col("node").alias("hub"), F.col("component").alias("main"))
-    extra = F.floor(F.greatest(F.col("nk") - F.col("nh"), F.lit(0)) * (den - num) / (den + num))
-    half = F.ceil((F.size("d") - extra) / 2)
-    stars = stars.join(own, "key", "left").join(main, "hub", "left").select(
-        "hub", "key", F.col("nk").alias("n"), "d", "linked", F.size("d").alias("dn"), F.coalesce("own", "key").alias("own"), F.coalesce("main", "hub").alias("main"),
-        F.greatest(F.size("d") - half + 1, F.lit(0)).cast("int").alias("p"),
+    a = ((F.size("d") + F.col("nk") - F.col("nh")) / 2).cast("int")
+    largest = F.floor(F.col("nk") * den / num)
+    placed = stars.join(own, "key", "left").join(main, "hub", "left").select(
+        "hub", "key", "nh", F.col("nk").alias("n"), "d", "linked", F.size("d").alias("dn"), a.alias("a"), (F.size("d") - a).alias("b"),
+        F.coalesce("own", "key").alias("own"), F.coalesce("main", "hub").alias("main"), _limit(F.col("nk"), largest, num, den).cast("int").alias("most"),
     )
-    stars = materialize(stars, "jaccard-stars")
-    open_hubs = materialize(stars.where("not linked and own <> main").select("hub").distinct(), "jaccard-open")
-    stars = stars.join(open_hubs, "hub", "left_semi")
-    outside = stars.where("not linked")
-    short = F.slice("d", F.lit(1), F.col("p"))
-
-    def spread(rows: DataFrame, elements, tag: str) -> DataFrame:
-        return rows.select("hub", F.explode(elements).alias("e"), *[F.col(c).alias(c + tag) for c in ("key", "n", "dn", "own")])
-
-    differs = (F.col("ownx") != F.col("owny")) & (F.abs(F.col("dnx") - F.col("dny")) <= _limit(F.col("nx"), F.col("ny"), num, den))
-    whole = spread(outside.where("own <> main"), F.col("d"), "x")
-    with_linked = whole.join(spread(stars.where("linked"), short, "y"), ["hub", "e"]).where(differs)
-    both_out = spread(outside, short, "x").join(spread(outside, short, "y"), ["hub", "e"]).where(differs & (F.col("keyx") < F.col("keyy")))
-    cols = ["hub", "keyx", "keyy"]
-    pairs = materialize(with_linked.select(*cols).unionByName(both_out.select(*cols)).distinct(), "jaccard-open-pairs")
+    placed = materialize(placed, "jaccard-placed")
+    is_open = ~F.col("linked") & (F.col("own") != F.col("main"))
+    open_hubs = materialize(placed.where(is_open).select("hub").distinct(), "jaccard-open")
+    stars = placed.join(open_hubs, "hub", "left_semi")
+
+    def spread(rows: DataFrame, start, length, tag: str) -> DataFrame:
+        elements = F.slice("d", start, F.greatest(length, F.lit(0)).cast("int"))
+        settled = F.col("linked") | (F.col("own") == F.col("main"))
+        return rows.select("hub", F.explode(elements).alias("e"), settled.alias("settled" + tag), *[F.col(c).alias(c + tag) for c in ("key", "n", "a", "b", "own")])
+
+    def met(x: DataFrame, y: DataFrame, least, once) -> DataFrame:
+        limit = _limit(F.col("nx"), F.col("ny"), num, den)
+        apart = (F.col("ownx") != F.col("owny")) & (least + F.abs(F.col("bx") - F.col("by")) <= limit)
+        return x.join(y, ["hub", "e"]).where(apart & once).select("hub", F.least("keyx", "keyy").alias("keyx"), F.greatest("keyx", "keyy").alias("keyy"))
+
+    opened = stars.where(is_open)
+    head = F.least("a", F.col("most") + 1)
+    gained = met(spread(opened, F.lit(1), head, "x"), spread(stars, F.lit(1), head, "y"), F.abs(F.col("ax") - F.col("ay")), F.col("settledy") | (F.col("keyx") < F.col("keyy")))
+    tail_x = F.col("b") - F.greatest(F.col("dn") - F.col("most"), F.lit(1)) + 1
+    tail_y = F.col("b") - F.floor(F.col("dn") / 2)
+    small = F.col("a") <= F.col("most")
+    lost = met(spread(opened.where(small), F.col("a") + 1, tail_x, "x"), spread(stars.where(small & (F.col("n") < F.col("nh"))), F.col("a") + 1, tail_y, "y"), F.col("ax") + F.col("ay"), F.lit(True))
+    pairs = materialize(gained.unionByName(lost).distinct(), "jaccard-open-pairs")
     side = lambda t: stars.select("hub", *[F.col(c).alias(c + t) for c in ("key", "n", "d")])
     seen = pairs.join(side("x"), ["hub", "keyx"]).join(side("y"), ["hub", "keyy"])
     apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))

@@ -14,7 +14,8 @@ from gridloom.plans.staging import materialize
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, and the frequent lines of the
+    others."""
     return quality_rules.filter_documents(docs)
 
 

@@ -3,7 +3,8 @@
 Each document gets its in-text statistics in one pass over the text.  Lines are
 normalised and hashed; per host, the number of *different texts* holding a line
 is counted, lines above the limits are struck out, and a document that loses
-more than a given part of its words is rejected as depleted.
+more than a given part of its words is rejected as depleted.  ``filter_documents``
+gives the other documents back with the struck lines cut out of their texts.
 
 Only hashes, counts and ids are shuffled, never text.  Exact copies are one
 document to the line counts, so a page copied a thousand times does not turn
@@ -112,7 +113,8 @@ def frequent_lines(stats: DataFrame, min_docs: int, max_share: float) -> DataFra
 
 
 def removed_words(stats: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(_host, _k1, _k2, removed_words) of the texts that lose a line."""
+    """(_host, _k1, _k2, removed_words, _struck) of the texts that lose a line;
+    ``_struck`` are the hashes of the lost lines."""
     lines = (
         stats.groupBy("_host", "_k1", "_k2")
         .agg(F.first("_lines").alias("_lines"))
@@ -122,10 +124,16 @@ def removed_words(stats: DataFrame, frequent: DataFrame) -> DataFrame:
     return (
         lines.join(frequent, ["_host", "h"])
         .groupBy("_host", "_k1", "_k2")
-        .agg(F.sum("w").cast("long").alias("removed_words"))
+        .agg(F.sum("w").cast("long").alias("removed_words"), F.collect_set("h").alias("_struck"))
     )
 
 
+def strike(text: Column, hashes: Column) -> Column:
+    """The text without the lines whose normal form has one of the hashes."""
+    lost = lambda x: x.rlike(WORD) & F.array_contains(hashes, F.xxhash64(normal_line(x)))
+    return F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~lost(x)), "\n")
+
+
 def score_documents(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source",
     min_docs: int = 20, max_share: float = 0.1, max_removed: float = 0.7,
@@ -146,7 +154,7 @@ def score_documents(
             "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             base_failed().alias("base_failed"),
             F.coalesce("removed_words", F.lit(0)).cast("long").alias("removed_words"),
-            "_host", "_k1", "_k2",
+            "_host", "_k1", "_k2", "_struck",
         )
         .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(depleted, F.lit(False)))
     )
@@ -156,22 +164,30 @@ def filter_documents(
     docs: DataFrame, text: str = "text", host: str = "source",
     min_docs: int = 20, max_share: float = 0.1, max_removed: float = 0.7,
 ) -> DataFrame:
-    """The rows of ``docs`` that pass, whole and with all their columns.
+    """The rows of ``docs`` that pass, with all their columns; the frequent lines
+    are cut out of their texts, and ``n_chars``, if there, is counted anew.
 
-    The verdict depends on host and text alone, so it comes back by their key;
-    only the rejected keys stand on the other side of the join.
+    Verdict and struck lines depend on host and text alone, so they come back by
+    their key; only the texts that are rejected or lose a line stand on the other
+    side of the join.
     """
-    h, k1, k2 = fresh(docs, "_host", "_k1", "_k2")
+    h, k1, k2, kept, struck = fresh(docs, "_host", "_k1", "_k2", "_kept", "_struck")
     verdicts = score_documents(docs.select(F.lit(0).alias("_id"), F.col(host).alias("_src"), F.col(text).alias("_txt")), "_id", "_txt", "_src", min_docs, max_share, max_removed)
-    bad = materialize(
-        verdicts.where(~F.col("kept")).select(F.col("_host").alias(h), F.col("_k1").alias(k1), F.col("_k2").alias(k2)).distinct(),
-        "quality-rejected",
+    marks = materialize(
+        verdicts.where(~F.col("kept") | F.col("_struck").isNotNull())
+        .select(F.col("_host").alias(h), F.col("_k1").alias(k1), F.col("_k2").alias(k2), F.col("kept").alias(kept), F.col("_struck").alias(struck)).distinct(),
+        "quality-marks",
     )
     t = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.withColumns({
         h: F.coalesce(F.col(host).cast("string"), F.lit("")), k1: F.xxhash64(t), k2: F.xxhash64(F.lit("second"), t),
     })
-    return keyed.join(bad, [h, k1, k2], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    passed = keyed.join(marks, [h, k1, k2], "left").where(F.coalesce(F.col(kept), F.lit(True)))
+    cut = F.when(F.col(struck).isNull(), F.col(text)).otherwise(strike(F.col(text), F.col(struck)))
+    new = {text.lower(): cut}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col(struck).isNull(), F.col("n_chars")).otherwise(F.length(cut).cast("long"))
+    return passed.select(*[new.get(c.lower(), F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

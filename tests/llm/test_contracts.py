@@ -301,6 +301,24 @@ def test_frequent_lines_deplete(spark):
     assert all(r.kept for r in quality_rules.score_documents(spark.createDataFrame(copies, "doc_id long, text string, source string")).collect())
 
 
+def test_planted_line_is_gone_after_the_stage(spark):
+    import corpus_pipeline
+
+    random.seed(4)
+    own = lambda n=60: " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
+    texts = {i: [own(), "", own(8)] for i in range(60)}
+    planted = {i: ["  Share this\tPAGE with friends ", *lines, "share this page  with friends"] if i < 25 else lines for i, lines in texts.items()}
+    rows = [(i, "\n".join(lines), "en", None if i % 2 else "", len("\n".join(lines))) for i, lines in planted.items()]
+    rows += [(100 + i, *r[1:]) for i, r in enumerate(rows[:3])] + [(200, rows[0][1], "en", "elsewhere", -1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r for r in corpus_pipeline.rules_stage(spark, df, "").collect()}
+    assert len(out) == len(rows)
+    for i, lines in texts.items():
+        assert out[i].text == "\n".join(lines) and out[i].n_chars == len(out[i].text) and out[i].source == rows[i][3]
+    assert all(out[100 + i].text == out[i].text for i in range(3))  # copies
+    assert out[200].text == rows[0][1] and out[200].n_chars == -1  # another host
+
+
 # --------------------------------------------------------------------- secrets
 
 

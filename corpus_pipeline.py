@@ -15,8 +15,9 @@ from gridloom.plans.staging import materialize
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go, and the frequent lines of the
-    others."""
-    return quality_rules.filter_documents(docs)
+    others.  Lines are judged by the number of texts alone: a share of the host
+    would let the same line through in a larger table."""
+    return quality_rules.filter_documents(docs, max_share=0.0)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -319,6 +319,20 @@ def test_planted_line_is_gone_after_the_stage(spark):
     assert out[200].text == rows[0][1] and out[200].n_chars == -1  # another host
 
 
+@pytest.mark.parametrize("others", [20, 400])  # the planted line stands in over and under 10 % of the texts
+def test_verdict_on_a_line_does_not_depend_on_the_size(spark, others):
+    import corpus_pipeline
+
+    random.seed(8)
+    own = lambda n: " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
+    deplete, planted, rare = own(200), own(5), own(5)
+    texts = [(own(60), deplete) for _ in range(20)] + [(own(60), planted) for _ in range(20)] + [(own(60), rare) for _ in range(19)] + [(own(60),) for _ in range(others)]
+    rows = [(i, "\n".join(t), "h") for i, t in enumerate(texts)]
+    out = {r.doc_id: r.text for r in corpus_pipeline.rules_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()}
+    assert set(out) == set(range(20, len(rows)))
+    assert all(out[i] == (texts[i][0] if i < 40 else rows[i][1]) for i in out)
+
+
 # --------------------------------------------------------------------- secrets
 
 

@@ -1,9 +1,10 @@
 """License scans by an exact set-similarity join (DataFrame functions only).
 
 Base labels come from phrases whose words stand consecutively.  Besides, every
-line of every text is a block, and each (template, block) pair whose block
-holds at least ``threshold`` of the template's distinct words is found, none
-missed:
+line of every text is a block, and so is every run of words, across line ends,
+that is no longer than the template's words divided by ``threshold``.  Each
+(template, block) pair whose block holds at least ``threshold`` of the
+template's distinct words is found, none missed:
 
 * words are ordered by how many texts hold them, rarest first, counted over
   all texts for the templates' vocabulary (no other word can add to an overlap);
@@ -11,7 +12,11 @@ missed:
   share one of the template's first ``size - c + 1`` words (prefix filter) at a
   place that leaves enough words on both sides (positional filter), and must
   have at least c words of the vocabulary (length filter);
-* the survivors' overlaps are counted exactly.
+* the survivors' overlaps are counted exactly;
+* a window lies in its text, so the words of whole texts go through the same
+  filters first.  Of the (text, template) pairs that remain, those whose lines
+  hold all that the text has of the template are settled; only the texts of the
+  others are read again, and their windows counted.
 
 One pass over the text keeps, per document, the counts and the blocks that pass
 the least length; equal blocks are verified once.  The template side is a
@@ -25,7 +30,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridloom.llm.text import ascii_lower
 from gridloom.plans.staging import materialize
@@ -57,11 +62,11 @@ MAX_TEMPLATES = 5_000
 
 
 def template_rows(templates=None, threshold: float = 0.9) -> list[tuple]:
-    """(id, label, distinct words, least overlap) of each template."""
+    """(id, label, distinct words, least overlap, longest window) of each template."""
     rows = []
     for label, text in templates or TEMPLATES:
         words = sorted(set(text.split()))
-        rows.append((len(rows), label, words, math.ceil(threshold * len(words) - 1e-9)))
+        rows.append((len(rows), label, words, math.ceil(threshold * len(words) - 1e-9), math.ceil(len(text.split()) / threshold - 1e-9)))
     if len(rows) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     return rows
@@ -74,7 +79,7 @@ def _literal(words: list[str]):
 def scan_texts(docs: DataFrame, templates: list[tuple], id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, n_words, places of the phrases, ``_blocks`` (vocabulary
     words of each line that has enough of them), ``_vocab`` (vocabulary words of
-    the text) and the content key."""
+    the text), ``_wrapped`` (words on more than one line) and the content key."""
     least = min(r[3] for r in templates)
     vocab = _literal(sorted({w for r in templates for w in r[2]}))
     t = F.coalesce(F.col(text), F.lit(""))
@@ -105,34 +110,51 @@ def scan_texts(docs: DataFrame, templates: list[tuple], id_col: str = "doc_id",
         "doc_id", "n_words", sum(counts[1:], counts[0]).cast("long").alias("n_base"),
         F.least(*firsts).cast("long").alias("first_word"), F.greatest(*lasts).cast("long").alias("last_word"),
         F.array_compact(F.array(*labels)).alias("_base"), "_blocks", "_vocab", "_k1", "_k2",
+        F.col("_n").rlike(r"[^ \n] *\n[ \n]*[^ \n]").alias("_wrapped"),
     )
 
 
-def containment_join(scanned: DataFrame, templates: list[tuple]) -> DataFrame:
-    """(block, label, score): every block, as its sorted vocabulary words, that
-    holds enough of a template."""
-    spark = scanned.sparkSession
-    seen = dict(scanned.select(F.explode("_vocab").alias("w")).groupBy("w").agg(F.count("*")).collect())  # at most the vocabulary
-    order = sorted({w for r in templates for w in r[2]}, key=lambda w: (seen.get(w, 0), w))
+def containment_join(blocks: DataFrame, order: list[str], templates: list[tuple], keys: list[str], words: str) -> DataFrame:
+    """(keys, tid, label, t_size, overlap) of every row of ``blocks``, a set of
+    vocabulary words, that holds enough of a template; ``order`` is the
+    vocabulary, rarest word first."""
     rank = {w: i for i, w in enumerate(order)}
     ranked = _literal(order)
     prefix = [
-        (w, i, tid, label, words, len(words), c)
-        for tid, label, words, c in templates
-        for i, w in enumerate(sorted(words, key=rank.get)[: len(words) - c + 1])
+        (w, i, tid, label, members, len(members), c)
+        for tid, label, members, c, _ in templates
+        for i, w in enumerate(sorted(members, key=rank.get)[: len(members) - c + 1])
     ]
-    prefixes = F.broadcast(spark.createDataFrame(prefix, "word string, i int, tid int, label string, words array<string>, t_size int, c int"))
-    blocks = scanned.select(F.explode("_blocks").alias("b")).select(F.array_sort("b").alias("block")).distinct()
-    sorted_block = F.transform(F.array_sort(F.transform("block", lambda w: F.struct(F.array_position(ranked, w), w.alias("w")))), lambda s: s["w"])
-    probes = blocks.select("block", F.size("block").alias("b_size"), F.posexplode(sorted_block).alias("j", "word"))
+    prefixes = F.broadcast(blocks.sparkSession.createDataFrame(prefix, "word string, i int, tid int, label string, words array<string>, t_size int, c int"))
+    by_rank = F.transform(F.array_sort(F.transform(words, lambda w: F.struct(F.array_position(ranked, w), w.alias("w")))), lambda s: s["w"])
+    probes = blocks.select(*keys, F.col(words).alias("_b"), F.size(words).alias("b_size"), F.posexplode(by_rank).alias("j", "word"))
     enough = (
         (F.col("b_size") >= F.col("c"))
         & (F.col("j") <= F.col("b_size") - F.col("c"))
         & (1 + F.least(F.col("t_size") - F.col("i") - 1, F.col("b_size") - F.col("j") - 1) >= F.col("c"))
     )
-    pairs = probes.join(prefixes, "word").where(enough).dropDuplicates(["block", "tid"])
-    overlap = F.size(F.array_intersect("block", "words"))
-    return pairs.where(overlap >= F.col("c")).select("block", "label", (overlap / F.col("t_size")).alias("score"))
+    overlap = F.size(F.array_intersect("_b", "words"))
+    return probes.join(prefixes, "word").where(enough).select(*keys, "tid", "label", "t_size", "c", overlap.alias("overlap")).where("overlap >= c").drop("c").distinct()
+
+
+def window_hits(docs: DataFrame, open_pairs: DataFrame, templates: list[tuple], text: str) -> DataFrame:
+    """(_k1, _k2, tid, label, t_size, overlap) of the pairs of ``open_pairs``
+    (_k1, _k2, tid) of which a window of the text holds enough."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    sides = docs.sparkSession.createDataFrame(templates, "tid int, label string, words array<string>, c int, span int")
+    spread = F.array_remove(F.split(F.regexp_replace(ascii_lower(t), SEPARATORS, " "), " "), "")
+    keyed = docs.select(F.xxhash64(t).alias("_k1"), F.xxhash64(F.lit("second"), t).alias("_k2"), F.col(text))
+    texts = keyed.join(open_pairs.groupBy("_k1", "_k2").agg(F.collect_set("tid").alias("_tids")), ["_k1", "_k2"])
+    asked = texts.select("_k1", "_k2", F.explode("_tids").alias("tid"), spread.alias("_s")).join(F.broadcast(sides), "tid")
+    places = F.filter(F.transform("_s", lambda w, i: F.struct(i.alias("p"), w.alias("w"))), lambda x: F.array_contains("words", x["w"]))
+
+    def held(hit: Column, i: Column) -> Column:
+        near = F.filter(F.slice(F.col("_at"), i + 1, F.col("span")), lambda y: y["p"] < hit["p"] + F.col("span"))
+        return F.size(F.array_distinct(F.transform(near, lambda y: y["w"])))
+
+    asked = asked.select("_k1", "_k2", "tid", "label", "c", "span", F.size("words").alias("t_size"), places.alias("_at"))
+    overlap = F.array_max(F.transform("_at", held))
+    return asked.select("_k1", "_k2", "tid", "label", "t_size", "c", overlap.alias("overlap")).where("overlap >= c").drop("c").distinct()
 
 
 def label_documents(docs: DataFrame, templates=None, threshold: float = 0.9, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -140,10 +162,18 @@ def label_documents(docs: DataFrame, templates=None, threshold: float = 0.9, id_
     labels, all labels, and the best containment (1 for a phrase)."""
     rows = template_rows(templates, threshold)
     scanned = materialize(scan_texts(docs, rows, id_col, text), "license-scan")
-    hits = containment_join(scanned, rows)
-    holders = scanned.where(F.size("_blocks") > 0).select("_k1", "_k2", F.explode("_blocks").alias("b")).select("_k1", "_k2", F.array_sort("b").alias("block")).distinct()
-    found = holders.join(hits, "block").groupBy("_k1", "_k2").agg(F.collect_set("label").alias("_more"), F.max("score").alias("_score"))
-    out = scanned.drop("_blocks", "_vocab").join(materialize(found, "license-labels"), ["_k1", "_k2"], "left")
+    seen = dict(scanned.select(F.explode("_vocab").alias("w")).groupBy("w").agg(F.count("*")).collect())  # at most the vocabulary
+    order = sorted({w for r in rows for w in r[2]}, key=lambda w: (seen.get(w, 0), w))
+    keys = ["_k1", "_k2"]
+    holders = scanned.where(F.size("_blocks") > 0).select(*keys, F.explode("_blocks").alias("b")).select(*keys, F.array_sort("b").alias("block")).distinct()
+    hits = containment_join(holders.select("block").distinct(), order, rows, ["block"], "block")
+    in_lines = materialize(holders.join(hits, "block").select(*keys, "tid", "label", "t_size", "overlap"), "license-lines")
+    # what no line holds as much of as the text does
+    whole = containment_join(scanned.where("_wrapped"), order, rows, keys, "_vocab")
+    open_pairs = materialize(whole.join(in_lines.select(*keys, "tid", "overlap"), [*keys, "tid", "overlap"], "left_anti").select(*keys, "tid"), "license-open")
+    in_windows = window_hits(docs, open_pairs, rows, text)
+    found = in_lines.union(in_windows).groupBy(*keys).agg(F.collect_set("label").alias("_more"), F.max(F.col("overlap") / F.col("t_size")).alias("_score"))
+    out = scanned.drop("_blocks", "_vocab", "_wrapped").join(materialize(found, "license-labels"), ["_k1", "_k2"], "left")
     none = F.array().cast("array<string>")
     return out.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
@@ -162,7 +192,7 @@ def sql(docs: str = "documents", threshold: float = 0.9) -> str:
     overlaps without filters."""
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    values = ", ".join(f"({tid}, '{label}', {words!r}, {c})" for tid, label, words, c in template_rows(threshold=threshold))
+    values = ", ".join(f"({tid}, '{label}', {words!r}, {c})" for tid, label, words, c, _ in template_rows(threshold=threshold))
     phrases = " UNION ALL ".join(
         f"SELECT rid, p, '{label}' AS label FROM q10_w WHERE " + " AND ".join(f"w{k} = '{w}'" for k, w in enumerate(phrase.split()))
         for phrase, label in PHRASES.items()

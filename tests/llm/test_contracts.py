@@ -416,6 +416,25 @@ def test_licenses_edge(edge, empty):
     assert licenses.label_documents(edge).count() == edge.count() and licenses.label_documents(empty).count() == 0
 
 
+def test_wrapped_notices(spark):
+    import textwrap
+
+    random.seed(6)
+    prose = lambda n: " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
+    rows, want = [], {}
+    for n, (label, words) in enumerate(licenses.TEMPLATES):
+        for width in (24, 40, 72):
+            i = len(rows)
+            header = "\n".join(" * " + x for x in textwrap.wrap("Notice: " + words.capitalize() + ", and so on.", width))
+            rows.append((i, f"/*\n{header}\n *\n */\n" + "\n".join(prose(9) for _ in range(5))))
+            want[i] = label
+    scattered = "\n".join(f"{w} {prose(6)}" for w in licenses.TEMPLATES[1][1].split())  # all words, far apart
+    rows += [(900, scattered), (901, scattered.replace("\n", " "))]
+    got = {r.doc_id: r for r in licenses.label_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(label in got[i].labels.split(",") and got[i].score == 1.0 for i, label in want.items())
+    assert got[900].labels == "" and got[901].labels == "mit"  # a line is a block whatever its length
+
+
 # -------------------------------------------------------------------- pipeline
 
 

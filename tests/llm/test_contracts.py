@@ -115,6 +115,23 @@ def test_neighbours_edge(spark):
     assert ann.nearest(df.where("1 = 0"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("exact", [None, 0])  # small lengths whole; and by hashing, with queries left short
+def test_small_tables_equal_brute_force(spark, monkeypatch, exact):
+    if exact is not None:
+        monkeypatch.setattr(ann, "EXACT", exact)
+    rng = np.random.default_rng(3)
+    x = {i: rng.standard_normal(64 if i < 15 else 48 if i < 55 else 7) for i in range(155)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.nearest(df, F.col("vec_id") % 5 == 0).collect():
+        got[r.query_id].append((r.rank, r.vec_id))
+    for q in range(0, 155, 5):
+        best = sorted((i for i in x if i != q and len(x[i]) == len(x[q])), key=lambda i: (-float(x[i] @ x[q]), i))[:20]
+        mine = [i for _, i in sorted(got[q])]
+        assert len(mine) == len(best)
+        assert mine == best or exact == 0 and len(x[q]) != 64  # hashing may miss some where it finds k
+
+
 # -------------------------------------------------------------- quality model
 
 

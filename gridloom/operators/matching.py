@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -59,24 +61,79 @@ def assignment(cost: np.ndarray) -> np.ndarray:
     return out
 
 
-#: A component of more cells than this is refused.
-MAX_CELLS = 4_000_000
+def sparse_assignment(n: int, m: int, start: np.ndarray, column: np.ndarray, cost: np.ndarray, absent: float) -> np.ndarray:
+    """Column of each of n rows, or -1 where it stays alone at cost ``absent``,
+    in a cheapest assignment over the pairs given.  Row i has the columns
+    ``column[start[i]:start[i + 1]]``.
+
+    Shortest augmenting paths on reduced costs, over a heap; a path ends at a
+    free column or at a row that is given up.  Memory is that of the pairs."""
+    start, column, cost = start.tolist(), column.tolist(), cost.tolist()
+    v, owner, held = [0.0] * m, [-1] * m, [-1] * n
+    u = [0.0] * n
+    for i in range(n):
+        dist, way, done, heap, closed = {}, {}, [], [], set()
+        row, far = i, 0.0
+        seen = [(i, 0.0)]
+        alone, alone_row = absent - u[i], i
+        while True:
+            for e in range(start[row], start[row + 1]):
+                j = column[e]
+                if j in closed:  # rounding must not change a path that is settled
+                    continue
+                d = far + cost[e] - u[row] - v[j]
+                if d < dist.get(j, np.inf):
+                    dist[j], way[j] = d, row
+                    heappush(heap, (d, j))
+            while heap and heap[0][0] > dist[heap[0][1]]:
+                heappop(heap)
+            if not heap or heap[0][0] >= alone:
+                end, far = -1, alone
+                break
+            far, j = heappop(heap)
+            if owner[j] < 0:
+                end = j
+                break
+            done.append((j, far))
+            closed.add(j)
+            row = owner[j]
+            seen.append((row, far))
+            if far + absent - u[row] < alone:
+                alone, alone_row = far + absent - u[row], row
+        for r, d in seen:
+            u[r] += far - d
+        for j, d in done:
+            v[j] -= far - d
+        if end < 0:  # alone_row gives its column up, and the path goes from there
+            end, held[alone_row] = held[alone_row], -1
+            if alone_row == i:
+                continue
+        while True:
+            r = way[end]
+            owner[end], held[r], end = r, end, held[r]
+            if r == i:
+                break
+    return np.array(held)
 
 
 def _best(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.drop_duplicates(["lid", "rid"])
     lefts, rights = np.unique(pdf["lid"]), np.unique(pdf["rid"])
-    if len(lefts) * len(rights) > MAX_CELLS:
-        raise ValueError(f"a component of {len(lefts)} by {len(rights)} points is too large to match exactly")
     turn = len(lefts) > len(rights)
+    rows, columns = np.searchsorted(lefts, pdf["lid"]), np.searchsorted(rights, pdf["rid"])
+    if turn:
+        rows, columns = columns, rows
+    n, m = min(len(lefts), len(rights)), max(len(lefts), len(rights))
     dist = np.sqrt(pdf["d2"].to_numpy())
-    absent = (dist.max() + 1) * (min(len(lefts), len(rights)) + 1)  # one more pair outweighs any distance
-    cost = np.full((len(lefts), len(rights)), absent)
-    cost[np.searchsorted(lefts, pdf["lid"]), np.searchsorted(rights, pdf["rid"])] = dist
-    picked = assignment(cost.T if turn else cost)
-    i = np.arange(len(picked))
-    r, c = (picked, i) if turn else (i, picked)
-    real = cost[r, c] < absent
-    return pd.DataFrame({"lid": lefts[r[real]], "rid": rights[c[real]], "distance": cost[r, c][real]})
+    absent = (dist.max() + 1) * (n + 1)  # one more pair outweighs any distance
+    order = np.lexsort((columns, rows))
+    rows, columns, dist = rows[order], columns[order], dist[order]
+    start = np.searchsorted(rows, np.arange(n + 1))
+    picked = sparse_assignment(n, m, start, columns, dist, absent)
+    i = np.flatnonzero(picked >= 0)
+    at = np.searchsorted(rows * m + columns, i * m + picked[i])
+    r, c = (picked[i], i) if turn else (i, picked[i])
+    return pd.DataFrame({"lid": lefts[r], "rid": rights[c], "distance": dist[at]})
 
 
 def match_one_to_one(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:

@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pandas as pd
 from conftest import SF
 
 from gridloom.operators import grids, matching, registry
@@ -40,6 +41,30 @@ def test_match_one_to_one(spark):
     assert got == {(1, 2), (2, 1)}  # two pairs, though (1, 1) alone is nearer
 
 
+def test_sparse_components_equal_the_dense_assignment():
+    rng = np.random.default_rng(5)
+    for n, m, share in ((1, 1, 1.0), (6, 9, 0.3), (30, 30, 0.08), (40, 25, 0.1), (60, 60, 0.05)):
+        at = rng.random((n, m)) < share
+        at[0, 0] = True
+        d2 = rng.random((n, m)) * 9
+        i, j = np.nonzero(at)
+        got = matching._best(pd.DataFrame({"lid": i + 7, "rid": j + 3, "d2": d2[i, j]}))
+        assert got["lid"].is_unique and got["rid"].is_unique and all(at[a - 7, b - 3] for a, b in zip(got["lid"], got["rid"]))
+        assert np.allclose(got["distance"], np.sqrt(d2[got["lid"] - 7, got["rid"] - 3]))
+        absent = 4.0 * (min(n, m) + 1)
+        cost = np.where(at, np.sqrt(d2), absent)
+        cost = cost if n <= m else cost.T
+        want = cost[np.arange(len(cost)), matching.assignment(cost)]
+        assert len(got) == (want < absent).sum() and abs(got["distance"].sum() - want[want < absent].sum()) < 1e-9
+
+
+def test_large_component_is_matched():
+    i = np.arange(2_500)  # a chain of 2,500 by 2,500 points
+    pairs = pd.DataFrame({"lid": np.r_[i, i[1:]], "rid": np.r_[i, i[:-1]], "d2": np.r_[i * 0 + 4.0, i[1:] * 0 + 1.0]})
+    got = matching._best(pairs)
+    assert len(got) == 2_500 and set(got["distance"]) == {2.0}
+
+
 def test_flood_is_symmetric_and_keeps_seeds():
     height = np.array([[9.0, 5, 1, 5, 9]])
     assert grids.flood(height, np.array([[1, 0, 0, 0, 2]])).tolist() == [[1, 1, 1, 2, 2]]

@@ -265,7 +265,11 @@ def _pieces(v: Vocabulary, code: np.ndarray, doc: np.ndarray, place: np.ndarray,
 
 
 def _spans(v: Vocabulary, text: str, key, dropout: float) -> np.ndarray:
-    """A text (with its prefix) of any length, in spans of some SLICE."""
+    """A text (with its prefix) of any length, in spans of some SLICE.
+
+    By definition, a span of 4,194,304 or more characters (a stretch without a
+    border from space to word) is cut every 2,097,152 characters, and no merge
+    crosses a cut; its pieces may differ from those of the whole span there."""
     parts, a = [], 0
     while a < len(text):
         b = min(len(text), a + SLICE)

@@ -15,16 +15,19 @@ further round under another hash, and both sets of a missed pair must have done
 so.  After the last round such a set also emits its weak signatures.  Sets too
 small to differ in anything are joined by equality.
 
-Signatures travel as packed arrays, and a task sends equal texts once.  Where
-sets share a signature, each is paired with the group's hub (the member whose
-signatures have most members in all, so what most of a group has is what its
-hub has), never with all others.  Pairs are verified exactly.  Similar sets share many signatures, at least n1 - H less
-the weak ones, so a set that shares fewer with all others together is dropped
-first: a passage that many texts quote makes no pairs.  Members
-of one hub's star that are still in different components are then joined on
-their differences to the hub, with prefix and length filters (residual_links),
-so siblings that are merely near each other make no pairs.  Components come from
-alternating large-star and small-star steps, on pairs only.
+Signatures travel as packed arrays, and a task sends equal texts once.  Similar
+sets share many signatures, at least n1 - H less the weak ones: a set that
+shares fewer with all others together is dropped, and of the others the most
+frequent signatures are left out (candidates), so a passage that many texts quote
+makes no pairs.  Where sets share a signature, they are held against the group's
+hub (the member in the largest company), never against all others: first each
+text against the one hub it meets most often; then, only where a group's texts
+are neither connected by then nor in one star, against that group's hub.
+Members of one hub's star that are still in different components are joined on
+their differences to the hub, with prefix, length and count filters
+(residual_links), so siblings that are merely near each other make no pairs.
+Every link is verified on whole sets.  Components come from alternating
+large-star and small-star steps, on pairs only.
 
 Edge cases: null texts and texts without words have an empty set and stand
 alone; equal texts are one set throughout; a null id never names a component
@@ -41,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridloom.plans.components import connected_components
-from gridloom.plans.staging import arrow_batches, discard, materialize
+from gridloom.plans.staging import discard, materialize
 
 #: Ratio of a band's largest to its smallest size.
 BAND = 1.25
@@ -184,7 +187,7 @@ def signatures(s: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
             at = np.concatenate(([0], np.cumsum(count)))
             sig = mix64(run[at[1:]] - run[at[:-1]] + mix64(np.arange(n1, dtype=np.uint64) + salt))
             weak = count < WEAK
-            lucky = int(weak.sum()) < n1 - h
+            lucky = int(weak.sum()) < n1 - own
             out.append(sig if turn == ROUNDS - 1 and not lucky else sig[~weak])
             if turn == 0:
                 need = min(need, n1 - own - int(weak.sum())) if lucky else 1
@@ -193,48 +196,36 @@ def signatures(s: np.ndarray, num: int, den: int) -> tuple[np.ndarray, int]:
     return np.concatenate(out), max(1, need)
 
 
-def _shared(sig: np.ndarray, key: np.ndarray, n: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Rows (signature, key, n, need, m), each once, of signatures with m > 1 keys."""
-    order = np.lexsort((key, sig))
-    sig, key, n, need = sig[order], key[order], n[order], need[order]
-    new = np.ones(len(sig), bool)
-    new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
-    sig, key, n, need = sig[new], key[new], n[new], need[new]
-    first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
-    length = np.diff(np.append(first, len(sig)))
-    m = np.repeat(length, length)
-    several = m > 1
-    return sig[several], key[several], n[several], need[several], m[several]
-
-
 def _emit(width: int, num: int, den: int, fan: int):
-    """Map side: signatures packed by bin ``p``: six bytes each, with the
-    document's place in the row's own list of keys and set sizes.
+    """Map side: signatures packed by bin ``p``, five bytes each, in runs by
+    document: (key, least number shared, length of the run).
 
     A text that a task has seen is not sent again.  Shortened signatures can
-    only add candidates, all of which are verified."""
+    only add candidates, all of which are verified; bins grow with the cluster,
+    and equal short forms of different bins are different signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, owners, keys, sizes, needs, seen, held = [], [], [], [], [], set(), 0
+        sigs, keys, needs, counts, seen, held = [], [], [], [], set(), 0
 
         def flush() -> pa.RecordBatch:
             nonlocal held
-            sig, owner = np.concatenate(sigs), np.concatenate(owners)
-            key, size, need = np.array(keys, np.int64), np.array(sizes, np.int32), np.array(needs, np.int32)
-            for x in (sigs, owners, keys, sizes, needs):
+            sig, owner = np.concatenate(sigs), np.repeat(np.arange(len(keys)), counts)
+            key, need = np.array(keys, np.int64), np.minimum(np.array(needs), 65_535).astype(np.uint16)
+            for x in (sigs, keys, needs, counts):
                 x.clear()
             held = 0
-            p = (mix64(sig) % np.uint64(fan)).astype(np.int64)
+            p = (mix64(sig) % np.uint64(fan)).astype(np.uint32)
             order = np.argsort(p, kind="stable")
             p, sig, owner = p[order], sig[order], owner[order]
             at = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
             rows = []
             for a, b in zip(at, np.append(at[1:], len(p))):
-                mine, place = np.unique(owner[a:b], return_inverse=True)
-                short = sig[a:b].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                rows.append((int(p[a]), short, place.astype(np.uint16).tobytes(), key[mine].tobytes(), size[mine].tobytes(), need[mine].tobytes()))
+                first = np.flatnonzero(np.concatenate(([True], owner[a + 1 : b] != owner[a : b - 1])))
+                mine, length = owner[a:b][first], np.diff(np.append(first, b - a)).astype(np.uint32)
+                short = sig[a:b].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+                rows.append((int(p[a]), short, key[mine].tobytes(), need[mine].tobytes(), length.tobytes()))
             cols = list(zip(*rows))
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64())] + [pa.array(c, pa.binary()) for c in cols[1:]], names=["p", "sig", "place", "key", "n", "need"])
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64())] + [pa.array(c, pa.binary()) for c in cols[1:]], names=["p", "sig", "key", "need", "length"])
 
         for batch in batches:
             ids = batch.column("k").to_numpy(zero_copy_only=False)
@@ -248,12 +239,11 @@ def _emit(width: int, num: int, den: int, fan: int):
                     if len(s):
                         g, need = signatures(s, num, den)
                         sigs.append(g)
-                        owners.append(np.full(len(g), len(keys), np.int32))
                         keys.append(int(ids[start + i]))
-                        sizes.append(len(s))
                         needs.append(need)
+                        counts.append(len(g))
                         held += len(g)
-                        if held >= FLUSH or len(keys) == 1 << 16:
+                        if held >= FLUSH:
                             yield flush()
         if keys:
             yield flush()
@@ -261,34 +251,45 @@ def _emit(width: int, num: int, den: int, fan: int):
     return run
 
 
-_MEMBER = pa.schema([("sig", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("need", pa.int64()), ("m", pa.int64())])
+_MEMBER = pa.schema([("sig", pa.int64()), ("key", pa.int64()), ("need", pa.int64()), ("m", pa.int64())])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce side: (sig, key, n, need, m) of signatures that m > 1 keys have.
-
-    Bins arrive sorted, so one bin is held at a time."""
+    """Reduce side: (sig, key, need, m) of signatures that m > 1 keys have, each
+    row once.  Bins arrive sorted, so one bin is held at a time."""
 
     def close(p: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        sig, key, n, need = [], [], [], []
-        for short, place, own, size, least in parts:
-            six = np.frombuffer(short, np.uint8).reshape(-1, 6)
-            full = np.zeros((len(six), 8), np.uint8)
-            full[:, :6] = six
+        sig, key, need = [], [], []
+        for short, own, least, length in parts:
+            five = np.frombuffer(short, np.uint8).reshape(-1, 5)
+            full = np.zeros((len(five), 8), np.uint8)
+            full[:, :5] = five
             sig.append(full.view(np.uint64).ravel())
-            place = np.frombuffer(place, np.uint16)
-            key.append(np.frombuffer(own, np.int64)[place])
-            n.append(np.frombuffer(size, np.int32)[place])
-            need.append(np.frombuffer(least, np.int32)[place])
-        sig, key, n, need, m = _shared(np.concatenate(sig), np.concatenate(key), np.concatenate(n), np.concatenate(need))
-        sig = mix64(sig + mix64(np.array([p], np.uint64)))  # another bin's equal short form is another signature
+            length = np.frombuffer(length, np.uint32)
+            key.append(np.repeat(np.frombuffer(own, np.int64), length))
+            need.append(np.repeat(np.frombuffer(least, np.uint16), length))
+        sig, key, need = np.concatenate(sig), np.concatenate(key), np.concatenate(need)
+        order = np.argsort(sig, kind="stable")
+        alike = np.concatenate(([False], np.diff(sig[order]) == 0))
+        order = order[alike | np.append(alike[1:], False)]  # without signatures of one row
+        order = order[np.lexsort((key[order], sig[order]))]
+        sig, key, need = sig[order], key[order], need[order]
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
+        sig, key, need = sig[new], key[new], need[new]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(sig)), bool), sig[1:] != sig[:-1])))
+        length = np.diff(np.append(first, len(sig)))
+        m = np.repeat(length, length)
+        several = m > 1
+        sig, key, need, m = sig[several], key[several], need[several], m[several]
+        sig = mix64(sig + mix64(np.array([p], np.uint64)))
         for a in range(0, len(sig), 100_000):
             x = slice(a, a + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(sig[x].view(np.int64)), pa.array(key[x]), pa.array(n[x].astype(np.int64)), pa.array(need[x].astype(np.int64)), pa.array(m[x].astype(np.int64))], schema=_MEMBER)
+            yield pa.RecordBatch.from_arrays([pa.array(sig[x].view(np.int64)), pa.array(key[x]), pa.array(need[x].astype(np.int64)), pa.array(m[x].astype(np.int64))], schema=_MEMBER)
 
     at, parts = None, []
     for batch in batches:
-        for row in zip(*[batch.column(c).to_pylist() for c in ("p", "sig", "place", "key", "n", "need")]):
+        for row in zip(*[batch.column(c).to_pylist() for c in ("p", "sig", "key", "need", "length")]):
             if row[0] != at and parts:
                 yield from close(at, parts)
                 parts = []
@@ -298,88 +299,121 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from close(at, parts)
 
 
-def _sets(width: int, with_set: bool):
-    """(k, n, set) of the texts: the set's size and its elements, packed."""
+#: One pair of texts: sizes of the sets, what the key gained and lost against
+#: the hub (a, b elements, of which the smallest few are listed).
+_PAIR = "hub long, key long, nh long, nk long, a long, b long, gained array<long>, lost array<long>"
+
+
+def _compare(width: int, num: int, den: int):
+    """Compares the sets of two texts.  Of the differences, as many elements are
+    listed as the set's most differences from any linked one, and one more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, hub = None, np.empty(0, np.uint64)
         for batch in batches:
-            for start, sets in shingle_sets(batch.column("text"), width):
-                k = batch.column("k").slice(start, len(sets))
-                cols = [k, pa.array([len(s) for s in sets], pa.int64())]
-                names = ["k", "n"]
-                if with_set:
-                    cols.append(pa.array([s.tobytes() for s in sets], pa.binary()))
-                    names.append("s")
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+            keys, hubs = batch.column("key"), batch.column("hub").to_pylist()
+            sizes, gained, lost = [], [], []
+            for start, sets in shingle_sets(batch.column("tk"), width):
+                for i, s in enumerate(sets):
+                    if hubs[start + i] != at:  # rows come sorted by hub
+                        at = hubs[start + i]
+                        ((_, (hub,)),) = shingle_sets(batch.column("th").slice(start + i, 1), width)
+                    x, y = np.setdiff1d(s, hub, assume_unique=True), np.setdiff1d(hub, s, assume_unique=True)
+                    most = most_differences(len(s), len(s) * den // num, num, den) + 1
+                    sizes.append((len(hub), len(s), len(x), len(y)))
+                    gained.append(x[:most].view(np.int64))
+                    lost.append(y[:most].view(np.int64))
+            cols = [pa.array(c, pa.int64()) for c in (zip(*sizes) if sizes else ((),) * 4)]
+            lists = [pa.array(c, pa.list_(pa.int64())) for c in (gained, lost)]
+            yield pa.RecordBatch.from_arrays([batch.column("hub"), keys, *cols, *lists], names=["hub", "key", "nh", "nk", "a", "b", "gained", "lost"])
 
     return run
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hub, key, nh, nk, d) of pairs of packed sets; d lists what the sets
-    differ in: the key's own elements in order, then the hub's in order."""
-    for batch in batches:
-        nh, nk, d = [], [], []
-        for x, y in zip(batch.column("sh"), batch.column("sk")):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            nh.append(len(x))
-            nk.append(len(y))
-            d.append(np.concatenate((np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True))).view(np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("hub"), batch.column("key"), pa.array(nh, pa.int64()), pa.array(nk, pa.int64()), pa.array(d, pa.list_(pa.int64()))], names=["hub", "key", "nh", "nk", "d"]
-        )
+def compare(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Pairs (hub, key) with sizes and differences of their sets.  The key's
+    text travels to the hub's: once per pair."""
+    keys = texts.select(F.col("k").alias("key"), F.col("text").alias("tk"))
+    hubs = texts.select(F.col("k").alias("hub"), F.col("text").alias("th"))
+    met = pairs.join(keys, "key").join(hubs, "hub").select("hub", "key", "th", "tk").sortWithinPartitions("hub")
+    return met.mapInArrow(_compare(width, num, den), _PAIR)
+
+
+def _limit(a, b, num: int, den: int):
+    """Most differences of linked sets of a and b elements, as a column."""
+    return F.floor((a + b) * (den - num) / (den + num))
+
+
+#: Up to this many keys (some 16 bytes each) are broadcast.
+BROADCAST_ROWS = 2_000_000
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Differences and sizes of each pair (hub, key).  The key's set travels to the
-    hub's, so a set moves once per pair it is in, as its key."""
-    keys = sets.select(F.col("k").alias("key"), F.col("s").alias("sk"))
-    hubs = sets.select(F.col("k").alias("hub"), F.col("s").alias("sh"))
-    return pairs.join(keys, "key").join(hubs, "hub").select("hub", "key", "sh", "sk").mapInArrow(_differences, "hub long, key long, nh long, nk long, d array<long>")
+def _near(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def candidates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(sig, key, fame): the signatures on which a text can be linked.
+
+    Signatures are ordered by the number of texts that have them.  Two linked
+    texts share ``need`` of them at least, so they share one that is, in either,
+    not among the need - 1 most frequent it has; those are left out, and with
+    them whole texts that share fewer than ``need`` with all others together.
+    Fame is the number of texts met on all signatures."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = docs.mapInArrow(_emit(width, num, den, 2 * parts), "p long, sig binary, key binary, need binary, length binary")
+    met = packed.repartition(parts, "p").sortWithinPartitions("p").mapInArrow(_meet, "sig long, key long, need long, m long")
+    members = materialize(met, "jaccard-members")
+    own = members.groupBy("key").agg(F.max("need").cast("int").alias("need"), F.sum("m").alias("fame"), F.sort_array(F.collect_list(F.struct("m", "sig"))).alias("all"))
+    rare = own.where(F.size("all") >= F.col("need")).select("key", "fame", F.explode(F.slice("all", F.lit(1), F.size("all") - F.col("need") + 1)).alias("s"))
+    out = materialize(rare.select("s.sig", "key", "fame"), "jaccard-rare")
+    discard(members)
+    return out
 
 
 def class_links(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """Verified links (a, b) for rows (k, text), equal k meaning equal text.
 
     They connect exactly the texts that all links would connect."""
-    spark = docs.sparkSession
-    arrow_batches(spark, 1000)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.mapInArrow(_emit(width, num, den, max(64, 4 * parts)), "p long, sig binary, place binary, key binary, n binary, need binary")
-    met = packed.repartition(parts, "p").sortWithinPartitions("p").mapInArrow(_meet, "sig long, key long, n long, need long, m long")
-    members_table = members = materialize(met, "jaccard-members")
-    # a set that shares fewer signatures than a similar one must is out
-    shares = members.groupBy("key", "need").agg(F.count("*").alias("shared"), F.sum("m").alias("fame"))
-    left = materialize(shares.where("shared >= need").select("key", "fame"), "jaccard-left")
-    # hubs: of a signature's members, the one in the largest company over all
-    members = members.join(left, "key").select("sig", "key", "fame")
-    hubs = members.groupBy("sig").agg(F.max(F.struct("fame", "key")).alias("hub"), F.count("*").alias("m")).where("m > 1")
-    starred = members.select("sig", "key").join(hubs.select("sig", F.col("hub.key").alias("hub")), "sig")
-    pairs = materialize(starred.where(F.col("hub") != F.col("key")).select("hub", "key").distinct(), "jaccard-pairs")
-    discard(members_table)
-    wanted = docs.join(left.select(F.col("key").alias("k")), "k", "left_semi").dropDuplicates(["k"])
-    sets = materialize(wanted.mapInArrow(_sets(width, True), "k long, n long, s binary"), "jaccard-sets")
-    stars = materialize(verify(pairs, sets).withColumn("linked", F.size("d") <= _limit(F.col("nh"), F.col("nk"), num, den)), "jaccard-checked")
-    discard(pairs, sets, left)
+    rare = candidates(docs, width, num, den)
+    # of a signature's texts, the one in the largest company over all is the hub
+    hubs = rare.groupBy("sig").agg(F.max(F.struct("fame", "key")).alias("best"), F.count("*").alias("m")).where("m > 1")
+    hubs = hubs.select("sig", F.col("best.key").alias("hub"), F.col("best.fame").alias("fame"))
+    starred = materialize(rare.select("sig", "key").join(hubs, "sig"), "jaccard-starred")
+    discard(rare)
+    involved = materialize(starred.select(F.col("key").alias("k")).distinct(), "jaccard-involved")
+    texts = materialize(docs.join(_near(involved), "k", "left_semi").groupBy("k").agg(F.first("text").alias("text")), "jaccard-texts")
+    # first each text against the one hub that it meets most often
+    often = starred.where("hub <> key").groupBy("key", "hub").agg(F.count("*").alias("n"), F.max("fame").alias("fame"))
+    best = materialize(often.groupBy("key").agg(F.max(F.struct("n", "fame", "hub")).alias("best")).select("best.hub", "key"), "jaccard-first")
+    first = materialize(compare(best, texts, width, num, den), "jaccard-stars-1")
+    linked = F.col("a") + F.col("b") <= _limit(F.col("nh"), F.col("nk"), num, den)
+    comp = connected_components(first.where(linked).select(F.col("hub").alias("a"), F.col("key").alias("b")))
+    # then, where texts of a signature are neither of one component nor in one
+    # star, those outside of its hub's star against that hub
+    own = comp.select(F.col("node").alias("key"), F.col("component"))
+    placed = starred.join(best.select("key", F.col("hub").alias("met")), "key", "left").join(own, "key", "left").select(
+        "sig", "key", "hub", F.coalesce("component", "key").alias("c"), (F.col("hub").eqNullSafe(F.col("met")) | (F.col("key") == F.col("hub"))).alias("inside")
+    )
+    placed = materialize(placed, "jaccard-met")
+    open_ = placed.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("inside").alias("all")).where("lo < hi and not all").select("sig")
+    pairs = materialize(placed.where("not inside").join(open_, "sig", "left_semi").select("hub", "key").distinct(), "jaccard-second")
+    discard(starred, involved, placed)
+    again = materialize(compare(pairs, texts, width, num, den), "jaccard-stars-2")
+    stars = first.unionByName(again).withColumn("linked", linked)
     links = materialize(stars.where("linked").select(F.col("hub").alias("a"), F.col("key").alias("b")), "jaccard-links")
-    rest = materialize(residual_links(stars, links, num, den), "jaccard-rest")
-    discard(stars)
+    rest = materialize(residual_links(stars, links, texts, width, num, den), "jaccard-rest")
+    discard(first, again, texts, best, pairs)
     return links.unionByName(rest)
 
 
-def _limit(a, b, num: int, den: int):
-    """Most differences of linked sets of a and b elements, as a column."""
-    return F.floor((a + b) * (den - num) / (den + num))
-
-
-def residual_links(stars: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
+def residual_links(stars: DataFrame, links: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Links that the pairs with hubs have not led to.
 
-    Two sets that share a signature share its hub, so such a link lies between
-    two members x, y of one hub's star, in different components; at least x is
-    not linked with the hub.  Let Ax be what x has and the hub lacks, Bx what
-    the hub has and x lacks.  x and y differ in the symmetric differences of
-    Ax, Ay and of Bx, By, at most L elements together.
+    Such a link lies between two members x, y of one hub's star, in different
+    components; at least x is not linked with the hub.  Let Ax be what x has and
+    the hub lacks, Bx what the hub has and x lacks.  x and y differ in the
+    symmetric differences of Ax, Ay and of Bx, By, at most L elements together.
 
     * If Ax and Ay meet, they do so in their first L + 1 elements (prefix
       filter: each leaves at most L outside of the other).
@@ -390,15 +424,15 @@ def residual_links(stars: DataFrame, links: DataFrame, num: int, den: int) -> Da
 
     Sets that differ from the hub in replaced words are as large as the hub, so
     only the first case is theirs, and there a pair comes from elements that
-    both have and most of the group has not.
+    both have and the hub has not.  A pair goes on only if as many elements are
+    shared as a link needs; what the lists do not settle is compared whole.
     """
     comp = connected_components(links)
     own = comp.select(F.col("node").alias("key"), F.col("component").alias("own"))
     main = comp.select(F.col("node").alias("hub"), F.col("component").alias("main"))
-    a = ((F.size("d") + F.col("nk") - F.col("nh")) / 2).cast("int")
     largest = F.floor(F.col("nk") * den / num)
     placed = stars.join(own, "key", "left").join(main, "hub", "left").select(
-        "hub", "key", "nh", F.col("nk").alias("n"), "d", "linked", F.size("d").alias("dn"), a.alias("a"), (F.size("d") - a).alias("b"),
+        "hub", "key", "nh", F.col("nk").alias("n"), "gained", "lost", "linked", "a", "b",
         F.coalesce("own", "key").alias("own"), F.coalesce("main", "hub").alias("main"), _limit(F.col("nk"), largest, num, den).cast("int").alias("most"),
     )
     placed = materialize(placed, "jaccard-placed")
@@ -406,28 +440,42 @@ def residual_links(stars: DataFrame, links: DataFrame, num: int, den: int) -> Da
     open_hubs = materialize(placed.where(is_open).select("hub").distinct(), "jaccard-open")
     stars = placed.join(open_hubs, "hub", "left_semi")
 
-    def spread(rows: DataFrame, start, length, tag: str) -> DataFrame:
-        elements = F.slice("d", start, F.greatest(length, F.lit(0)).cast("int"))
+    def spread(rows: DataFrame, elements, tag: str) -> DataFrame:
         settled = F.col("linked") | (F.col("own") == F.col("main"))
-        return rows.select("hub", F.explode(elements).alias("e"), settled.alias("settled" + tag), *[F.col(c).alias(c + tag) for c in ("key", "n", "a", "b", "own")])
+        return rows.select(
+            "hub", F.explode(elements).alias("e"), settled.alias("settled" + tag), (F.col("a") - F.size("gained")).alias("more" + tag), *[F.col(c).alias(c + tag) for c in ("key", "n", "a", "b", "own")]
+        )
+
+    limit = _limit(F.col("nx"), F.col("ny"), num, den)
+    apart_b = F.abs(F.col("bx") - F.col("by"))
 
     def met(x: DataFrame, y: DataFrame, least, once) -> DataFrame:
-        limit = _limit(F.col("nx"), F.col("ny"), num, den)
-        apart = (F.col("ownx") != F.col("owny")) & (least + F.abs(F.col("bx") - F.col("by")) <= limit)
-        return x.join(y, ["hub", "e"]).where(apart & once).select("hub", F.least("keyx", "keyy").alias("keyx"), F.greatest("keyx", "keyy").alias("keyy"))
+        return x.join(y, ["hub", "e"]).where((F.col("ownx") != F.col("owny")) & (least + apart_b <= limit) & once)
 
     opened = stars.where(is_open)
-    head = F.least("a", F.col("most") + 1)
-    gained = met(spread(opened, F.lit(1), head, "x"), spread(stars, F.lit(1), head, "y"), F.abs(F.col("ax") - F.col("ay")), F.col("settledy") | (F.col("keyx") < F.col("keyy")))
-    tail_x = F.col("b") - F.greatest(F.col("dn") - F.col("most"), F.lit(1)) + 1
-    tail_y = F.col("b") - F.floor(F.col("dn") / 2)
+    gained = met(spread(opened, F.col("gained"), "x"), spread(stars, F.col("gained"), "y"), F.abs(F.col("ax") - F.col("ay")), F.col("settledy") | (F.col("keyx") < F.col("keyy")))
+    shared = gained.groupBy("hub", "keyx", "keyy").agg(F.count("*").alias("c"), *[F.first(c).alias(c) for c in ("ax", "ay", "bx", "by", "nx", "ny", "morex", "morey")])
+    gained = shared.where(F.col("ax") + F.col("ay") - 2 * F.least(F.col("c") + F.col("morex") + F.col("morey"), "ax", "ay") + apart_b <= limit)
+    first = lambda n: F.slice("lost", F.lit(1), F.greatest(n, F.lit(0)).cast("int"))
     small = F.col("a") <= F.col("most")
-    lost = met(spread(opened.where(small), F.col("a") + 1, tail_x, "x"), spread(stars.where(small & (F.col("n") < F.col("nh"))), F.col("a") + 1, tail_y, "y"), F.col("ax") + F.col("ay"), F.lit(True))
-    pairs = materialize(gained.unionByName(lost).distinct(), "jaccard-open-pairs")
-    side = lambda t: stars.select("hub", *[F.col(c).alias(c + t) for c in ("key", "n", "d")])
+    tail_x = F.col("b") - F.greatest(F.col("a") + F.col("b") - F.col("most"), F.lit(1)) + 1
+    tail_y = F.least(F.col("b") - F.floor((F.col("a") + F.col("b")) / 2), F.col("most") - F.col("a") + 1)
+    lost = met(spread(opened.where(small), first(tail_x), "x"), spread(stars.where(small & (F.col("n") < F.col("nh"))), first(tail_y), "y"), F.col("ax") + F.col("ay"), F.lit(True))
+    ends = lambda df: df.select("hub", F.least("keyx", "keyy").alias("keyx"), F.greatest("keyx", "keyy").alias("keyy"))
+    pairs = materialize(ends(gained).unionByName(ends(lost).distinct()).distinct(), "jaccard-open-pairs")
+    side = lambda t: stars.select("hub", *[F.col(c).alias(c + t) for c in ("key", "n", "a", "b", "gained", "lost")])
     seen = pairs.join(side("x"), ["hub", "keyx"]).join(side("y"), ["hub", "keyy"])
-    apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
-    return seen.where(apart <= _limit(F.col("nx"), F.col("ny"), num, den)).select(F.col("keyx").alias("a"), F.col("keyy").alias("b"))
+
+    def least_apart(size: str, listed: str):
+        """Least symmetric difference of two sets by their listed parts."""
+        x, y = F.col(size + "x"), F.col(size + "y")
+        common = F.size(F.array_intersect(listed + "x", listed + "y")) + (x - F.size(listed + "x")) + (y - F.size(listed + "y"))
+        return x + y - 2 * F.least(common, x, y)
+
+    close = seen.where(least_apart("a", "gained") + least_apart("b", "lost") <= limit)
+    left = materialize(close.select(F.col("keyx").alias("hub"), F.col("keyy").alias("key")).distinct(), "jaccard-left")
+    whole = compare(left, texts, width, num, den)
+    return whole.where(F.col("a") + F.col("b") <= _limit(F.col("nh"), F.col("nk"), num, den)).select(F.col("hub").alias("a"), F.col("key").alias("b"))
 
 
 def text_keys(text: str = "text"):
@@ -457,10 +505,6 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     )
 
 
-#: Up to this many rejected rows (some 16 bytes each) are broadcast.
-BROADCAST_ROWS = 2_000_000
-
-
 def drop_near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one row of each class: that of the smallest id (nulls
     last), of the smallest text key among equals.  Rows without words stay."""
@@ -473,15 +517,16 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: in
     out = materialize(
         judged.where((F.col("k") != F.col("best_k")) | ~F.col("doc_id").eqNullSafe(F.col("best_id"))).select(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).distinct(), "near-dropped"
     )
-    recurring = placed.groupBy("doc_id", "k").agg(F.count("*").alias("m")).where("m > 1")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     whole = docs.select(row, F.col("doc_id").alias("_doc"), text_keys().alias("_key"))
-    gone = F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
-    left = whole.join(gone, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left_anti")
-    if recurring.limit(1).count():  # rows that recur whole: one stays, if they have words
-        words = F.regexp_count(F.col("_row.text"), F.lit(r"[^\x20\x09-\x0D]")) > 0
-        left = left.where(words).dropDuplicates(["_doc", "_key"]).unionByName(left.where(~F.coalesce(words, F.lit(False))))
-    return left.select("_row.*")
+    left = whole.join(_near(out), F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left_anti")
+    # rows that recur whole: one stays, if they have words
+    recurring = materialize(placed.groupBy("doc_id", "k").agg(F.count("*").alias("m")).where("m > 1").select(F.col("doc_id").alias("_id"), F.col("k").alias("_k")), "near-recurring")
+    if recurring.isEmpty():
+        return left.select("_row.*")
+    again = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k"))
+    several = left.join(_near(recurring), again, "left_semi").groupBy("_doc", "_key").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return left.join(_near(recurring), again, "left_anti").select("_row.*").unionByName(several.select("_row.*"))
 
 
 def _slim(width: int):

@@ -30,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridloom.plans.staging import arrow_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -337,8 +336,6 @@ def encode_documents(docs: DataFrame, model: str = MODEL, seed: int = 13, dropou
     """Rows of ``docs`` with ``pieces`` and, on request, ``lossless``: whether
     decoding them gives the text.  The text itself stays only if asked for;
     columns that have the names of new ones are replaced."""
-    spark = docs.sparkSession
-    arrow_batches(spark, 500)
     names = [c for c in docs.columns if (keep_text or c != text) and c.lower() not in ("pieces", "lossless", "_key")]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in names)
     keyed = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, text])], F.xxhash64(F.col(id_col)).alias("_key"))

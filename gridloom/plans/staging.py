@@ -20,10 +20,13 @@ _own: dict[str, str] = {}
 
 def shared_dir(spark: SparkSession) -> str:
     """Root of the intermediate tables: the session's ``spark.checkpoint.dir``,
-    or, only where that is unset (tests, a laptop), a temporary folder."""
+    or, only where that is unset and all runs in one process (tests, a laptop),
+    a temporary folder.  A cluster without the setting is refused."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="gridloom-")
@@ -42,15 +45,14 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes tables of ``materialize`` once all that reads them is written."""
+    """Deletes tables of ``materialize`` once all that reads them is written.
+
+    The driver's garbage is collected, too: Spark drops the shuffle files of a
+    finished plan when the plan itself is collected."""
     for df in tables:
         spark = df.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    if tables:
+        tables[0].sparkSession._jvm.java.lang.System.gc()
 
-
-def arrow_batches(spark: SparkSession, rows: int, size: str = "32m") -> None:
-    """Bounds what a Python worker is handed at once, in rows and in bytes, for
-    the rest of the session: plans run after the function that made them."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

@@ -20,7 +20,7 @@ template's distinct words is found, none missed:
 
 One pass over the text keeps, per document, the counts and the blocks that pass
 the least length; equal blocks are verified once.  The template side is a
-parameter and small by nature, so it is broadcast up to MAX_TEMPLATES.
+parameter; it is broadcast in parts of at most MAX_TEMPLATES, one after another.
 
 Edge cases: a null text is empty; a text without words has no label and score
 0; repeated rows get equal results; other columns are ignored.
@@ -67,8 +67,6 @@ def template_rows(templates=None, threshold: float = 0.9) -> list[tuple]:
     for label, text in templates or TEMPLATES:
         words = sorted(set(text.split()))
         rows.append((len(rows), label, words, math.ceil(threshold * len(words) - 1e-9), math.ceil(len(text.split()) / threshold - 1e-9)))
-    if len(rows) > MAX_TEMPLATES:
-        raise ValueError(f"more than {MAX_TEMPLATES} templates")
     return rows
 
 
@@ -157,10 +155,9 @@ def window_hits(docs: DataFrame, open_pairs: DataFrame, templates: list[tuple],
     return asked.select("_k1", "_k2", "tid", "label", "t_size", "c", overlap.alias("overlap")).where("overlap >= c").drop("c").distinct()
 
 
-def label_documents(docs: DataFrame, templates=None, threshold: float = 0.9, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: id, counts and places of the phrases, their
-    labels, all labels, and the best containment (1 for a phrase)."""
-    rows = template_rows(templates, threshold)
+def containments(docs: DataFrame, rows: list[tuple], id_col: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The scan of the texts, and (_k1, _k2, tid, label, t_size, overlap) of every
+    template that a line or window of a text holds enough of."""
     scanned = materialize(scan_texts(docs, rows, id_col, text), "license-scan")
     seen = dict(scanned.select(F.explode("_vocab").alias("w")).groupBy("w").agg(F.count("*")).collect())  # at most the vocabulary
     order = sorted({w for r in rows for w in r[2]}, key=lambda w: (seen.get(w, 0), w))
@@ -171,9 +168,20 @@ def label_documents(docs: DataFrame, templates=None, threshold: float = 0.9, id_
     # what no line holds as much of as the text does
     whole = containment_join(scanned.where("_wrapped"), order, rows, keys, "_vocab")
     open_pairs = materialize(whole.join(in_lines.select(*keys, "tid", "overlap"), [*keys, "tid", "overlap"], "left_anti").select(*keys, "tid"), "license-open")
-    in_windows = window_hits(docs, open_pairs, rows, text)
-    found = in_lines.union(in_windows).groupBy(*keys).agg(F.collect_set("label").alias("_more"), F.max(F.col("overlap") / F.col("t_size")).alias("_score"))
-    out = scanned.drop("_blocks", "_vocab", "_wrapped").join(materialize(found, "license-labels"), ["_k1", "_k2"], "left")
+    return scanned, in_lines.union(window_hits(docs, open_pairs, rows, text))
+
+
+def label_documents(docs: DataFrame, templates=None, threshold: float = 0.9, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: id, counts and places of the phrases, their
+    labels, all labels, and the best containment (1 for a phrase)."""
+    rows = template_rows(templates, threshold)
+    keys = ["_k1", "_k2"]
+    scanned = found = None
+    for i in range(0, len(rows), MAX_TEMPLATES):
+        one, hits = containments(docs, rows[i : i + MAX_TEMPLATES], id_col, text)
+        scanned, found = scanned or one, hits if found is None else found.union(hits)
+    found = found.groupBy(*keys).agg(F.collect_set("label").alias("_more"), F.max(F.col("overlap") / F.col("t_size")).alias("_score"))
+    out = scanned.drop("_blocks", "_vocab", "_wrapped").join(materialize(found, "license-labels"), keys, "left")
     none = F.array().cast("array<string>")
     return out.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",

@@ -170,7 +170,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, **options) -> Forest:
-    rows = labelled_sample(docs, labels, max_rows).dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    # of an id that recurs with other texts, the text of the smallest statistics
+    one = labelled_sample(docs, labels, max_rows).groupBy("doc_id").agg(F.min(F.struct(*FEATURES, "quality")).alias("row"))
+    rows = one.select("doc_id", "row.*").orderBy("doc_id").toPandas()
     return train(rows[list(FEATURES)].to_numpy(np.float64), rows["quality"].to_numpy(np.float64), **options)
 
 

@@ -21,6 +21,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gridloom.llm.text import fresh
 
 def _either_case(words: str) -> str:
     return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
@@ -31,8 +32,8 @@ ASSIGN = "(" + "|".join(map(_either_case, ("password", "passwd", "secret", "toke
 #: stand in these two patterns.
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-#: What the Markov models judge: long runs of key characters with a digit and a letter.
-TOKEN = r"[A-Za-z0-9_+/=-]{20,}"
+#: What the Markov models judge: runs of 16 and more key characters with a digit and a letter.
+TOKEN = r"[A-Za-z0-9_+/=-]{16,}"
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_+/=-"
 KINDS = ("assign", "access", "hex", "random")
@@ -118,19 +119,23 @@ def spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
     return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda acc: acc["got"])).otherwise(empty)
 
 
-def scan(docs: DataFrame, model: list[int] | None = None, text: str = "text", margin: float = MARGIN) -> DataFrame:
-    """Adds ``_assign``, ``_access``, ``_hex`` and ``_random`` (spans) to ``docs``."""
+def scan(docs: DataFrame, model: list[int] | None = None, text: str = "text", margin: float = MARGIN, into: str = "found") -> DataFrame:
+    """Adds one column to ``docs``, the last: the spans by kind (assign, access,
+    hex, random).  It is called ``into``, with underscores in front while ``docs``
+    has a column of that name."""
     model = model or fit(default_samples(docs.sparkSession))
-    t = F.coalesce(F.col(text), F.lit(""))
+    name, a, x, h, r = fresh(docs, into, "_assign", "_access", "_hex", "_random")
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     base = docs.withColumns({
-        "_assign": spans(t, ASSIGN, 0, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 8),
-        "_access": spans(t, ACCESS, 1),
-        "_hex": spans(t, HEX, 2),
-        "_random": spans(t, TOKEN, 3, lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]") & (likelihood_ratio(m, model) > int(1000 * margin))),
+        a: spans(t, ASSIGN, 0, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 8),
+        x: spans(t, ACCESS, 1),
+        h: spans(t, HEX, 2),
+        r: spans(t, TOKEN, 3, lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]") & (likelihood_ratio(m, model) > int(1000 * margin))),
     })
-    known = F.concat("_assign", "_access", "_hex")
+    known = F.concat(a, x, h)
     clear = lambda s: ~F.exists(known, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return base.withColumn("_random", F.when(F.size("_random") > 0, F.filter("_random", clear)).otherwise(F.col("_random")))
+    random = F.when(F.size(r) > 0, F.filter(r, clear)).otherwise(F.col(r))
+    return base.withColumn(name, F.struct(F.col(a).alias("assign"), F.col(x).alias("access"), F.col(h).alias("hex"), random.alias("random"))).drop(a, x, h, r)
 
 
 def listed(found: Column) -> Column:
@@ -144,8 +149,9 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **option
     """``docs`` with every span replaced by ``mark``; ``n_chars``, if there, is
     made true again.  Texts without spans stay as they are."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    found = scan(docs.select(row, F.col(text).alias("text")), **options)
-    every = F.array_sort(F.concat("_assign", "_access", "_hex", "_random"))
+    found = scan(docs.select(row, F.col(f"`{text}`").alias("text")), **options)
+    at = found.columns[-1]
+    every = F.array_sort(F.concat(*[F.col(f"{at}.{k}") for k in KINDS]))
     t = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
@@ -157,18 +163,18 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **option
     done = F.aggregate(every, start, step, lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
     hit = F.size(every) > 0
     out = found.select("_row", F.when(hit, done).otherwise(t).alias("_new"), hit.alias("_hit"))
-    new = {text.lower(): F.col("_new"), "n_chars": F.when(F.col("_hit"), F.length("_new").cast("long")).otherwise(F.col("_row.n_chars")) if "n_chars" in docs.columns else None}
-    return out.select(*[(F.col(f"_row.`{c}`") if c.lower() not in new else new[c.lower()]).alias(c) for c in docs.columns])
+    new = {text.lower(): F.col("_new")}
+    for c in docs.columns:
+        if c.lower() == "n_chars":
+            new["n_chars"] = F.when(F.col("_hit"), F.length("_new").cast(docs.schema[c].dataType)).otherwise(F.col(f"_row.`{c}`"))
+    return out.select(*[new.get(c.lower(), F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = scan(docs)
+    n = lambda kind: F.size(f"found.{kind}").cast("long").alias(f"n_{kind}")
+    base = F.concat("found.assign", "found.access", "found.hex")
     return found.select(
-        "doc_id",
-        F.size("_assign").cast("long").alias("n_assign"),
-        F.size("_access").cast("long").alias("n_access"),
-        F.size("_hex").cast("long").alias("n_hex"),
-        F.sha2(listed(F.concat("_assign", "_access", "_hex")), 256).alias("base_sha256"),
-        listed(F.concat("_assign", "_access", "_hex", "_random")).alias("spans"),
+        "doc_id", n("assign"), n("access"), n("hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.concat(base, "found.random")).alias("spans")
     )

@@ -10,14 +10,17 @@ skipped, the parts still spell the text: decoding gives it back byte for byte.
 Parts never span the border from a non-space to a space, so text falls into
 short chunks.  The agendas of all chunks of a slice advance in lock-step in
 numpy: per round every chunk performs its best candidate.  Chunks of over LONG
-characters use a heap instead, in n log n.  Both follow the same order (score,
+characters use a heap instead, in n log n; before that they are cut between
+neighbouring characters that stand together in no piece, which no merge can
+join, so a long run without spaces becomes chunks, too.  Both follow the same order (score,
 then leftmost) and draw the same hashes.
 
 The text is not normalised; U+2581, which stands for a space in pieces, is
 spelled in bytes where it occurs in a text, as are characters without a piece.
 
 Edge cases: a null text gives null pieces, an empty one none; null ids are
-hashed as such; repeated rows get equal results; other columns pass through.
+hashed as such; repeated rows get equal results; other columns pass through,
+whatever they are called.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from gridloom.llm.text import fresh
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -104,7 +108,9 @@ class Vocabulary:
             rest[put] = False
             todo, at = todo[rest], (at[rest] + 1) & ((1 << bits) - 1)
         rank = np.array(self.ranks, np.int64)
-        self._tables.update(chars=chars, slots=slots, values=values, bits=bits, probes=most, rank=rank, merges=dict(zip(keys.tolist(), made.tolist())))
+        spelled = [p.replace(SPACE, " ") for p in ids]
+        together = np.unique(np.array([ord(a) << 21 | ord(b) for p in spelled for a, b in zip(p, p[1:])], np.int64))
+        self._tables.update(together=together, chars=chars, slots=slots, values=values, bits=bits, probes=most, rank=rank, merges=dict(zip(keys.tolist(), made.tolist())))
         return self._tables
 
     @staticmethod
@@ -260,26 +266,30 @@ def _pieces(v: Vocabulary, code: np.ndarray, doc: np.ndarray, place: np.ndarray,
     space = code == 32
     new = np.ones(len(code), bool)
     new[1:] = (space[1:] & ~space[:-1]) | (doc[1:] != doc[:-1])
-    return segment(v, code, np.cumsum(new) - 1, keys.astype(np.uint64)[doc], place, dropout)
+    chunk = np.cumsum(new) - 1
+    within = np.flatnonzero((np.bincount(chunk) > LONG)[chunk] & ~new)
+    if len(within):
+        pair, known = code[within - 1] << 21 | code[within], v.tables()["together"]
+        at = np.minimum(np.searchsorted(known, pair), len(known) - 1)
+        new[within[known[at] != pair]] = True
+        chunk = np.cumsum(new) - 1
+    return segment(v, code, chunk, keys.astype(np.uint64)[doc], place, dropout)
 
 
 def _spans(v: Vocabulary, text: str, key, dropout: float) -> np.ndarray:
     """A text (with its prefix) of any length, in spans of some SLICE.
 
-    By definition, a span of 4,194,304 or more characters (a stretch without a
-    border from space to word) is cut every 2,097,152 characters, and no merge
-    crosses a cut; its pieces may differ from those of the whole span there."""
+    Spans end where words begin, so no merge crosses them; a stretch without such
+    a place is one span whatever its length."""
     parts, a = [], 0
     while a < len(text):
         b = min(len(text), a + SLICE)
         while b < len(text) and not (text[b] == " " and text[b - 1] != " "):
             b += 1
-        for c in range(a, b, 1 << 21) if b - a >= 1 << 22 else [a]:  # a chunk without end is cut
-            d = b if b - a < 1 << 22 else min(b, c + (1 << 21))
-            code = np.frombuffer(text[c:d].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-            doc = np.zeros(len(code), np.int64)
-            out = _pieces(v, code, doc, np.arange(c, d), np.array([key]), dropout)
-            parts.append(_spell(v, out, code, doc)[0])
+        code = np.frombuffer(text[a:b].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        doc = np.zeros(len(code), np.int64)
+        out = _pieces(v, code, doc, np.arange(a, b), np.array([key]), dropout)
+        parts.append(_spell(v, out, code, doc)[0])
         a = b
     return np.concatenate(parts).astype(np.int32)
 
@@ -314,11 +324,11 @@ def decode(v: Vocabulary, ids: np.ndarray) -> str:
     return text[1:] if v.dummy_prefix and text[:1] == " " else text
 
 
-def _run(v: Vocabulary, names: list[str], text: str, seed: int, dropout: float, check: bool):
+def _run(v: Vocabulary, names: list[str], new: list[str], text: str, key: str, seed: int, dropout: float, check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(text).to_pylist()
-            keys = _mix(batch.column("_key").to_numpy(zero_copy_only=False).view(np.uint64) + np.uint64(seed))
+            keys = _mix(batch.column(key).to_numpy(zero_copy_only=False).view(np.uint64) + np.uint64(seed))
             found = encode(v, [t or "" for t in texts], keys, dropout)
             ok = np.array([t is not None for t in texts], bool)
             sizes = np.array([len(x) for x in found], np.int64)
@@ -327,20 +337,21 @@ def _run(v: Vocabulary, names: list[str], text: str, seed: int, dropout: float,
             cols = [batch.column(n) for n in names] + [pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))]
             if check:
                 cols.append(pa.array([decode(v, x) == (t or "") for x, t in zip(found, texts)]))
-            yield pa.RecordBatch.from_arrays(cols, names=[*names, "pieces", *["lossless"] * check])
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, *new])
 
     return run
 
 
 def encode_documents(docs: DataFrame, model: str = MODEL, seed: int = 13, dropout: float = 0.1, id_col: str = "doc_id", text: str = "text", keep_text: bool = False, check: bool = True) -> DataFrame:
     """Rows of ``docs`` with ``pieces`` and, on request, ``lossless``: whether
-    decoding them gives the text.  The text itself stays only if asked for;
-    columns that have the names of new ones are replaced."""
-    names = [c for c in docs.columns if (keep_text or c != text) and c.lower() not in ("pieces", "lossless", "_key")]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in names)
-    keyed = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, text])], F.xxhash64(F.col(id_col)).alias("_key"))
-    schema = f"{kinds}, pieces array<int>" + (", lossless boolean" if check else "")
-    return keyed.mapInArrow(_run(Vocabulary.load(model), names, text, seed, dropout, check), schema)
+    decoding them gives the text.  The text itself stays only if asked for.  Where
+    ``docs`` has columns of those names, the new ones get an underscore in front."""
+    key, *new = fresh(docs, "_key", "pieces", *["lossless"] * check)
+    names = [c for c in docs.columns if keep_text or c != text]
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in names]
+    keyed = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*names, text])], F.xxhash64(F.col(f"`{id_col}`")).alias(key))
+    schema = ", ".join([*kinds, f"`{new[0]}` array<int>", *[f"`{new[-1]}` boolean"] * check])
+    return keyed.mapInArrow(_run(Vocabulary.load(model), names, new, text, key, seed, dropout, check), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from gridloom.plans.staging import materialize
 
-#: Groups (or partial partitions) that one task differences.
+#: Groups (or partial partitions) that one task differences, at up to 40 shards.
 BLOCK = 20_000
 #: Rows that are numbered together; numbering within a shard goes by chunks.
 CHUNK = 10_000
@@ -106,7 +106,7 @@ def _inner(shards: int):
 def assign_groups(groups: DataFrame, shards: int) -> DataFrame:
     """(k1, k2, shard) for groups (k1, k2, bytes)."""
     n = groups.count()
-    blocks = max(1, -(-n // BLOCK))
+    blocks = max(1, -(-n * max(shards, 40) // (40 * BLOCK)))  # fewer groups to a block of many shards
     dealt = groups.withColumn("block", F.pmod(F.xxhash64("k1", "k2"), F.lit(blocks)))
     leaves = materialize(
         dealt.groupBy("block").applyInPandas(_leaf(shards), "block long, k1 long, k2 long, part long, sums array<long>"), "shard-leaves"
@@ -128,16 +128,23 @@ def assign_groups(groups: DataFrame, shards: int) -> DataFrame:
         blocks = ups
 
 
-def number_rows(rows: DataFrame, key: str, order: list[Column], count: int) -> DataFrame:
+def number_rows(rows: DataFrame, key: str, order: list[str], count: int) -> DataFrame:
     """Adds ``slot``: a gapless number from 0 within each ``key``, whatever the
-    key's share of the rows; each task sorts a chunk of CHUNK rows on average."""
+    key's share of the rows; each task sorts a chunk of CHUNK different rows on
+    average.  Rows alike in all columns are counted first and take a range."""
     chunks = max(1, -(-count // CHUNK))
-    dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "text_crc32", "size", F.lit("chunk")), F.lit(chunks)))
-    sizes = dealt.groupBy(key, "_chunk").agg(F.count("*").alias("_n"))
+    counted = rows.groupBy(key, *order).agg(F.count("*").alias("_n"))
+    dealt = counted.withColumn("_chunk", F.pmod(F.xxhash64(*order, F.lit("chunk")), F.lit(chunks)))
+    sizes = dealt.groupBy(key, "_chunk").agg(F.sum("_n").alias("_all"))
     upto = W.partitionBy(key).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(key, "_chunk", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(W.partitionBy(key, "_chunk").orderBy(*order)) - 1
-    return dealt.withColumn("_at", inside).join(starts, [key, "_chunk"]).withColumn("slot", (F.col("_start") + F.col("_at")).cast("long")).drop("_chunk", "_at", "_start")
+    starts = sizes.select(key, "_chunk", F.coalesce(F.sum("_all").over(upto), F.lit(0)).alias("_start"))
+    inside = W.partitionBy(key, "_chunk").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(W.unboundedPreceding, -1)
+    placed = dealt.withColumn("_at", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(starts, [key, "_chunk"])
+    part = F.lit(4_096).cast("long")
+    spread = placed.withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / part))))
+    spread = spread.withColumn("_q", F.explode(F.sequence(F.lit(0).cast("long"), F.least(part, F.col("_n") - F.col("_p") * part) - 1)))
+    slot = F.col("_start") + F.col("_at") + F.col("_p") * part + F.col("_q")
+    return spread.withColumn("slot", slot.cast("long")).drop("_chunk", "_at", "_start", "_n", "_p", "_q")
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -153,8 +160,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     groups = materialize(slim.groupBy("k1", "k2").agg(F.sum("size").alias("bytes")), "shard-groups")
     placed = slim.join(assign_groups(groups, shards), ["k1", "k2"])
     placed = materialize(placed.select("doc_id", "size", "text_crc32", "shard"), "shard-placed")
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text_crc32"), F.col("size")]
-    return number_rows(placed, "shard", order, placed.count()).select("doc_id", "size", "text_crc32", "shard", "slot")
+    return number_rows(placed, "shard", ["doc_id", "text_crc32", "size"], placed.count()).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

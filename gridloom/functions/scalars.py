@@ -48,4 +48,5 @@ def wilson(successes: Column, n: Column, z: float = 1.959963984540054) -> Column
     p, zz = successes / n, z * z
     half = z * F.sqrt(p * (1 - p) / n + zz / (4 * n * n))
     low, high = ((p + zz / (2 * n) + s * half) / (1 + zz / n) for s in (-1, 1))
+    low, high = F.greatest(low, F.lit(0.0)), F.least(high, F.lit(1.0))
     return F.when(n > 0, F.struct(low.alias("low"), high.alias("high")))

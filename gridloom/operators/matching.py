@@ -136,11 +136,17 @@ def _best(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lid": lefts[r], "rid": rights[c], "distance": dist[at]})
 
 
-def match_one_to_one(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
+def match_one_to_one(left: DataFrame, right: DataFrame, radius: float, identity: bool = False) -> DataFrame:
     """(lid, rid, distance): most pairs, then least total distance.  Pairs form
-    components; each is solved on its own, exactly."""
+    components; each is solved on its own, exactly.  With ``identity``, points of
+    equal id within the radius are matched first and take no further part."""
     pairs = materialize(radius_pairs(left, right, radius), "match-pairs")
+    same = None
+    if identity:
+        same = pairs.where("lid = rid")
+        pairs = pairs.join(same.select("lid"), "lid", "left_anti").join(same.select("rid"), "rid", "left_anti").select("lid", "rid", "d2")
     edges = pairs.select((F.col("lid") * 2).alias("a"), (F.col("rid") * 2 + 1).alias("b"))
     comp = connected_components(edges)
     tagged = pairs.withColumn("node", F.col("lid") * 2).join(comp, "node")
-    return tagged.select("component", "lid", "rid", "d2").groupBy("component").applyInPandas(_best, "lid long, rid long, distance double")
+    found = tagged.select("component", "lid", "rid", "d2").groupBy("component").applyInPandas(_best, "lid long, rid long, distance double")
+    return found if same is None else found.unionByName(same.select("lid", "rid", F.sqrt("d2").alias("distance")))

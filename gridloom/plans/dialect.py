@@ -94,7 +94,7 @@ class DuckDB(Spark):
         return f"(SELECT unnest(generate_series(1, {n})) AS {name})"
 
     def words(self, s):
-        return f"list_filter(string_split({s}, ' '), w -> w <> '')"
+        return f"list_filter(string_split({s}, ' '), lambda w: w <> '')"
 
     def size(self, a):
         return f"len({a})"

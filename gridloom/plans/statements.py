@@ -79,33 +79,6 @@ def band_radius(d):
   CASE WHEN h >= 2 THEN greatest(1, cast(floor((CASE WHEN h < 6 THEN 1.0e0 WHEN h < 12 THEN 1.5e0 WHEN h < 20 THEN 2.0e0 ELSE 2.5e0 END) / 0.5e0 + 0.5e0) AS BIGINT)) END AS radius_cells FROM tops"""
 
 
-@query()
-def owner_classify(d):
-    norm = "trim(" + d.sub(d.sub("upper(coalesce(c_name, ''))", "[^A-Z0-9&;]", " "), r"\s+", " ") + ")"
-    return f"""SELECT c_custkey, owner, CASE WHEN owner = '' THEN 'NO_OWNER' WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') AND owner LIKE '%00000000%' THEN 'PUBLIC_GOVERNMENT'
-  WHEN c_mktsegment = 'HOUSEHOLD' AND {d.has('owner', '[13579]$')} THEN 'UNKNOWN_OWNER' ELSE 'PRIVATE' END AS category
-FROM (SELECT c_custkey, c_mktsegment, {norm} AS owner FROM customer) n"""
-
-
-@query()
-def route_key(d):
-    num = d.extract("p_name", "^([a-z]+)", 1)
-    return f"""SELECT p_partkey, CASE WHEN p_size <= 10 THEN 'I-' || {d.text('p_size')} WHEN p_size <= 25 THEN 'US ' || {d.text('p_size')} WHEN p_size <= 45 THEN 'SR ' || {d.text('p_size')} ELSE '' END AS route,
-  CASE WHEN p_size <= 10 THEN 0 WHEN p_size <= 25 THEN 1 WHEN p_size <= 45 THEN 2 ELSE 3 END AS family_rank, cast({d.sub('p_brand', '[^0-9]', '')} AS BIGINT) AS number, {num} AS head FROM part"""
-
-
-@query()
-def street_name(d):
-    clean = "trim(" + d.sub(d.sub("p_name", r"\b(small|large|big)\b", ""), r"\s+", " ") + ")"
-    return f"SELECT p_partkey, name, upper(substr(name, 1, 1)) || substr(name, 2) AS title FROM (SELECT p_partkey, {clean} AS name FROM part) n"
-
-
-@query()
-def public_path(d):
-    return f"""SELECT page_id, {d.extract('url', '^[a-z]+://([^/]+)/', 1)} AS host, {d.sub('url', '^.*/', '')} AS last_part, {d.has('url', '[?&]ref=')} AS has_ref,
-  {d.sub('url', '[?].*$', '')} AS clean FROM pages"""
-
-
 @query()
 def parcel_norm(d):
     return f"SELECT s_suppkey, {d.sub('s_name', '[^A-Za-z0-9]', '')} AS parcel, length({d.sub('s_name', '[^0-9]', '')}) AS n_digits FROM supplier"
@@ -130,18 +103,6 @@ def roof_context(d):
   CASE WHEN dist <= 1.0e0 THEN h - roof END AS above_roof FROM (SELECT id, h, (id % 40) / 10e0 AS dist, CASE WHEN id % 7 > 0 THEN (user_id % 30) * 1e0 END AS roof FROM tops) t"""
 
 
-@query()
-def creation_date(d):
-    return """SELECT o_orderkey, y, dy, CASE WHEN dy BETWEEN 1 AND 366 AND (dy < 366 OR y % 4 = 0) THEN y * 1000 + dy END AS ordinal FROM (
-  SELECT o_orderkey, cast(extract(year FROM o_orderdate) AS BIGINT) AS y, o_orderkey % 380 AS dy FROM orders) t"""
-
-
-@query("tops")
-def tile_names(d):
-    e, n = "cast(floor(x / 100e0) AS BIGINT)", "cast(floor(y / 100e0) AS BIGINT)"
-    return f"SELECT '12TVL' || {d.two_digits(e)} || {d.two_digits(n)} AS tile, count(*) AS n_tops, min(id) AS first_id FROM tops GROUP BY 1"
-
-
 @query()
 def json_props(d):
     k = f"cast({d.json('props', 'k')} AS BIGINT)"
@@ -187,12 +148,6 @@ JOIN (SELECT *, cast(floor(x0 / 50e0) AS BIGINT) AS bx, cast(floor(y0 / 40e0) AS
 WHERE a.pid <> b.pid AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1 GROUP BY 1"""
 
 
-@query()
-def vehicle_like(d):
-    return """SELECT p_partkey, p_size BETWEEN 12 AND 45 AND w <= 3.3e0 AND len >= 2.5e0 * w AND h BETWEEN 2.3e0 AND 4.5e0 AS vehicle_like FROM (
-  SELECT p_partkey, p_size, (p_partkey % 50) / 10e0 AS w, (p_partkey % 170) / 10e0 AS len, (p_partkey % 60) / 10e0 AS h FROM part) t"""
-
-
 # ------------------------------------------------------------------------ joins
 
 
@@ -610,44 +565,12 @@ def block_split(d):
 # ----------------------------------------------------------------- rule engines
 
 
-@query("pts")
-def footprint_status(d):
-    return """SELECT l_partkey, n, n6, CASE WHEN n < 2 THEN 'NO_RETURNS' WHEN n6 * 10 >= n * 7 THEN 'MATCHED' WHEN n6 = 0 THEN 'LIDAR_MISSED' ELSE 'PARTIAL' END AS status FROM (SELECT l_partkey, count(*) AS n, sum(CASE WHEN cls = 6 THEN 1 ELSE 0 END) AS n6 FROM pts GROUP BY l_partkey) t"""
-
-
-@query()
-def candidate_flag(d):
-    return """SELECT l_orderkey, l_linenumber, CASE WHEN l_discount IS NULL THEN 'UNKNOWN' WHEN l_discount < 0.02e0 AND l_tax < 0.02e0 THEN 'ON_ROOF' WHEN l_discount < 0.02e0 THEN 'ROOF_EDGE' WHEN l_tax > 0.06e0 THEN 'OVERHANG' WHEN l_discount < 0.05e0 THEN 'NEAR_ROOF' ELSE 'CLEAR' END AS flag FROM lineitem"""
-
-
-@query("pts")
-def refine_rules(d):
-    return """SELECT code, rule, count(*) AS n FROM (SELECT CASE WHEN z > 45 THEN 18 WHEN cls = 6 AND z < 3 THEN 2 WHEN cls = 5 AND z < 1.5e0 THEN 2 WHEN cls = 5 AND rn = 1 AND z BETWEEN 20 AND 25 THEN 6 ELSE cls END AS code,
-  CASE WHEN z > 45 THEN 7 WHEN cls = 6 AND z < 3 THEN 1 WHEN cls = 5 AND z < 1.5e0 THEN 2 WHEN cls = 5 AND rn = 1 AND z BETWEEN 20 AND 25 THEN 3 ELSE 0 END AS rule FROM pts) t GROUP BY code, rule"""
-
-
 @query("votes")
 def product_policy(d):
     return """SELECT unit, CASE WHEN noise > 0 THEN 7 WHEN ground = n THEN 2 WHEN tree > 0 AND bld > 0 THEN 1 WHEN tree > 0 THEN 5 WHEN bld > 0 THEN 6 ELSE 0 END AS product FROM (SELECT unit, count(*) AS n, sum(CASE WHEN unit % 50 = 0 AND turn = 1 THEN 1 ELSE 0 END) AS noise,
   sum(CASE WHEN code = 2 THEN 1 ELSE 0 END) AS ground, sum(CASE WHEN code = 5 THEN 1 ELSE 0 END) AS tree, sum(CASE WHEN code = 6 THEN 1 ELSE 0 END) AS bld FROM votes GROUP BY unit) t"""
 
 
-@query()
-def triage_propose(d):
-    return """SELECT p_partkey, n_fits, CASE WHEN n_fits = 1 AND auto = 1 THEN 'AUTO' WHEN n_fits = 0 THEN 'NONE' ELSE 'EYES' END AS route FROM (SELECT p_partkey, w + r + t AS n_fits, r AS auto FROM (
-  SELECT p_partkey, CASE WHEN p_size < 15 THEN 1 ELSE 0 END AS w, CASE WHEN p_retailprice > 950 AND p_size > 10 THEN 1 ELSE 0 END AS r, CASE WHEN p_brand LIKE '%1%' THEN 1 ELSE 0 END AS t FROM part) a) b"""
-
-
-@query("tops")
-def treetop_flags(d):
-    return """SELECT id, concat(CASE WHEN h < 2 THEN 'LOW;' ELSE '' END, CASE WHEN h > 100 THEN 'TALL;' ELSE '' END, CASE WHEN id % 13 = 0 THEN 'ROOF;' ELSE '' END, CASE WHEN user_id % 9 = 0 THEN 'SPARSE;' ELSE '' END) AS flags, h > 100 OR id % 13 = 0 AS suspect FROM tops"""
-
-
-@query()
-def alignment_class(d):
-    return """SELECT o_orderkey, CASE WHEN o_totalprice < 20000 THEN 'GONE' WHEN o_totalprice < 150000 AND o_custkey % 3 = 0 THEN 'ALIGNED' WHEN o_custkey % 3 = 1 THEN 'SYSTEMATIC' WHEN o_totalprice > 300000 THEN 'REAL_OFFSET' ELSE 'UNCERTAIN' END AS class FROM orders"""
-
-
 @query("units")
 def decision_precedence(d):
     return """SELECT doc_id, coalesce(CASE WHEN toxic = 1 THEN 'human' END, CASE WHEN quality = 0 THEN 'rule' END, CASE WHEN n_chars < 500 THEN 'group' END, 'unchecked') AS decided_by, CASE WHEN toxic = 1 OR quality = 0 THEN 'DROP' ELSE 'KEEP' END AS decision FROM units"""
@@ -656,11 +579,6 @@ def decision_precedence(d):
 # --------------------------------------------------- constraints and provenance
 
 
-@query("units")
-def plausibility_check(d):
-    return "SELECT stratum, sum(CASE WHEN quality NOT IN (0, 1) THEN 1 ELSE 0 END) AS bad_domain, sum(CASE WHEN quality IS NULL AND toxic IS NOT NULL THEN 1 ELSE 0 END) AS half_blank, sum(CASE WHEN n_chars <= 0 THEN 1 ELSE 0 END) AS empty, count(*) AS n FROM units GROUP BY stratum"
-
-
 @query()
 def referential_checks(d):
     return """SELECT 'orphan_lines' AS rule, count(*) AS broken FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_orderkey IS NULL

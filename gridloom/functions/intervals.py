@@ -11,7 +11,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from gridloom.functions.scalars import wilson
 
-_log_gamma = np.vectorize(math.lgamma, otypes=[float])
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    return np.array([math.lgamma(v) for v in np.ravel(x)]).reshape(np.shape(x))
 
 
 def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:

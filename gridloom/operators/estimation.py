@@ -179,14 +179,19 @@ def estimate(spark: SparkSession, samples: Mapping[str, Sample], statistic: Call
     return spark.createDataFrame(rows, _ESTIMATE)
 
 
-def status(samples: Sequence[Sample], usable: int) -> str:
-    return "NO_LABELS" if not usable else "PARTIAL" if any(s.missing() for s in samples) else "OK"
+def status(samples: Sequence[Sample], labelled: int) -> str:
+    return "NO_LABELS" if not labelled else "PARTIAL" if any(s.missing() for s in samples) else "OK"
 
 
 # --------------------------------------------------------------------- scoring
 
-USABLE = F.col("label").isNotNull() & (F.col("label") != "UNSURE")
-_TREE = (F.col("label") == "TREE").cast("int")
+def usable() -> Column:
+    """Labelled, and not as unsure."""
+    return F.col("label").isNotNull() & (F.col("label") != "UNSURE")
+
+
+def _tree() -> Column:
+    return (F.col("label") == "TREE").cast("int")
 
 
 def _flag(name: str) -> Column:
@@ -195,7 +200,7 @@ def _flag(name: str) -> Column:
 
 def stratum_table(units: DataFrame, population: DataFrame, success: Column, applicable: Column | None = None, unstable: int = 5) -> DataFrame:
     """Counts per stratum with a Wilson interval of success among usable units."""
-    counts_in = USABLE & (F.lit(True) if applicable is None else applicable)
+    counts_in = usable() & (F.lit(True) if applicable is None else applicable)
     found = units.groupBy("stratum").agg(
         F.count("*").alias("sampled"), F.count("label").alias("labelled"), F.count_if(F.col("label") == "UNSURE").alias("unsure"),
         F.count_if(counts_in).alias("usable"), F.count_if(counts_in & success).alias("successes"),
@@ -208,8 +213,8 @@ def stratum_table(units: DataFrame, population: DataFrame, success: Column, appl
 
 
 def treetop_sample(units: DataFrame, population: DataFrame) -> Sample:
-    y, r = _TREE, _flag("retained")
-    values = units.where(USABLE).select(
+    y, r = _tree(), _flag("retained")
+    values = units.where(usable()).select(
         "stratum", r.alias("kept"), (y * r).alias("kept_tree"), ((1 - y) * r).alias("kept_false"), (y * (1 - r)).alias("removed_tree"), ((1 - y) * (1 - r)).alias("removed_false"), y.alias("tree")
     )
     return Sample.of(values, population)
@@ -238,8 +243,8 @@ def score_treetops(units: DataFrame, population: DataFrame, new_candidates: int
 
 def score_cells(units: DataFrame, population: DataFrame, cell_area: float, replicates: int = 2000, seed: int = 0) -> DataFrame:
     """Commission, omission and area bias of canopy cells."""
-    y, c = _TREE, _flag("canopy")
-    values = units.where(USABLE).select("stratum", c.alias("mapped"), y.alias("tree"), (c * (1 - y)).alias("false_canopy"), (y * (1 - c)).alias("missed"))
+    y, c = _tree(), _flag("canopy")
+    values = units.where(usable()).select("stratum", c.alias("mapped"), y.alias("tree"), (c * (1 - y)).alias("false_canopy"), (y * (1 - c)).alias("missed"))
 
     def statistic(t: dict[str, Totals]) -> dict:
         s = t["s"]
@@ -252,8 +257,8 @@ def score_cells(units: DataFrame, population: DataFrame, cell_area: float, repli
 
 def score_omission(units: DataFrame, population: DataFrame, cell_area: float, replicates: int = 2000, seed: int = 0) -> DataFrame:
     """Tree canopy among cells mapped as none, and what a run recovers."""
-    y, c, d = _TREE, _flag("canopy"), _flag("candidate_near")
-    values = units.where(USABLE).select(
+    y, c, d = _tree(), _flag("canopy"), _flag("candidate_near")
+    values = units.where(usable()).select(
         "stratum", y.alias("tree"), (y * (1 - c)).alias("still"), (y * c).alias("recovered"), ((1 - y) * c).alias("added"), (y * (1 - c) * (1 - d)).alias("alone"), F.lit(1).alias("cells")
     )
 
@@ -268,8 +273,8 @@ def score_omission(units: DataFrame, population: DataFrame, cell_area: float, re
 def combined_omission(cells: DataFrame, cell_population: DataFrame, omission: DataFrame, omission_population: DataFrame, replicates: int = 2000, seed: int = 0) -> DataFrame:
     """Missed tree canopy over all: canopy strata of the one sample, all of the other."""
     def sample(units: DataFrame, population: DataFrame) -> Sample:
-        y, c = _TREE, _flag("canopy")
-        return Sample.of(units.where(USABLE).select("stratum", (y * c).alias("hit"), (y * (1 - c)).alias("missed")), population)
+        y, c = _tree(), _flag("canopy")
+        return Sample.of(units.where(usable()).select("stratum", (y * c).alias("hit"), (y * (1 - c)).alias("missed")), population)
 
     canopy = F.element_at(F.split("stratum", r"\|"), -1).startswith("CANOPY")
     a, b = sample(cells.where(canopy), cell_population.where(canopy)), sample(omission, omission_population)
@@ -290,7 +295,7 @@ def score_crowns(units: DataFrame, population: DataFrame, replicates: int = 2000
     known = F.coalesce(F.col("roof").isin("YES", "NO"), F.lit(False)).cast("int")
     roof = F.coalesce(F.col("roof") == "YES", F.lit(False)).cast("int")
     marks = [((F.col("label") == name).cast("int") * same).alias(name) for name in CROWN_LABELS]
-    values = units.where(USABLE).select("stratum", *marks, (roof * same).alias("roof"), (known * same).alias("known"), same.alias("crowns"))
+    values = units.where(usable()).select("stratum", *marks, (roof * same).alias("roof"), (known * same).alias("known"), same.alias("crowns"))
 
     def statistic(t: dict[str, Totals]) -> dict:
         s = t["s"]

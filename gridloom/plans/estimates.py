@@ -30,29 +30,29 @@ def _units(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return units, units.groupBy("stratum").agg((F.count("*") * 40 + 17).alias("population"))
 
 
-_KEPT = ("key", "estimate", F.sqrt("variance").alias("error"), "degrees", "status")
+_KEPT = ("key", "estimate", "sqrt(variance) AS error", "degrees", "status")
 
 
 def score_treetops(spark, sf_dir):
-    return E.score_treetops(*_units(spark, sf_dir), new_candidates=500, replicates=50).select(*_KEPT)
+    return E.score_treetops(*_units(spark, sf_dir), new_candidates=500, replicates=50).selectExpr(*_KEPT)
 
 
 def score_cells(spark, sf_dir):
-    return E.score_cells(*_units(spark, sf_dir), 0.25, replicates=50).select(*_KEPT)
+    return E.score_cells(*_units(spark, sf_dir), 0.25, replicates=50).selectExpr(*_KEPT)
 
 
 def score_omission(spark, sf_dir):
-    return E.score_omission(*_units(spark, sf_dir), 0.25, replicates=50).select(*_KEPT)
+    return E.score_omission(*_units(spark, sf_dir), 0.25, replicates=50).selectExpr(*_KEPT)
 
 
 def combined_omission(spark, sf_dir):
     units, sizes = _units(spark, sf_dir)
-    return E.combined_omission(units, sizes, units, sizes, replicates=50).select(*_KEPT)
+    return E.combined_omission(units, sizes, units, sizes, replicates=50).selectExpr(*_KEPT)
 
 
 def score_crowns(spark, sf_dir):
     units, sizes = _units(spark, sf_dir)
-    return E.score_crowns(units.withColumn("label", F.col("crown")), sizes, replicates=50).select(*_KEPT)
+    return E.score_crowns(units.withColumn("label", F.col("crown")), sizes, replicates=50).selectExpr(*_KEPT)
 
 
 def stratum_table(spark, sf_dir):
@@ -68,7 +68,7 @@ def exact_sign_test(spark, sf_dir):
 
 def stratum_decisions(spark, sf_dir):
     units, _ = _units(spark, sf_dir)
-    errors = units.groupBy("stratum").agg(F.count_if(F.col("label") == "ROOF_OR_BUILDING").alias("k"), F.count_if(E.USABLE).alias("n"))
+    errors = units.groupBy("stratum").agg(F.count_if(F.col("label") == "ROOF_OR_BUILDING").alias("k"), F.count_if(E.usable()).alias("n"))
     return errors.select("stratum", intervals.decision(F.col("k"), F.col("n"), 12, 0.3).alias("decision"))
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from gridloom.operators.rasters import crowns
 from gridloom.plans.components import connected_components
+from gridloom.plans.staging import discard, materialize
 
 
 def plateau_components(cells: DataFrame, value: str = "z") -> DataFrame:
@@ -24,80 +24,39 @@ def plateau_components(cells: DataFrame, value: str = "z") -> DataFrame:
     return own.join(comp.withColumnRenamed("node", "a"), "a", "left").select("cx", "cy", F.col("v").alias(value), F.coalesce("component", "a").alias("component"))
 
 
-def flood(height: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Priority flood from seeds (label > 0) over finite cells: each cell goes
-    to the label that reaches it over the lowest barrier, then in the fewest
-    steps, then to the smaller label."""
-    rows, cols = height.shape
-    label, queue, n = np.zeros_like(seeds), [], 0
-    for r, c in zip(*np.nonzero(seeds)):
-        heapq.heappush(queue, (-float(height[r, c]), 0, int(seeds[r, c]), int(r), int(c)))
-    while queue:
-        cost, steps, own, r, c = heapq.heappop(queue)
-        if label[r, c]:
-            continue
-        label[r, c] = own
-        n += 1
-        for dr in (-1, 0, 1):
-            for dc in (-1, 0, 1):
-                a, b = r + dr, c + dc
-                if (dr or dc) and 0 <= a < rows and 0 <= b < cols and not label[a, b] and np.isfinite(height[a, b]) and not (seeds[a, b] and seeds[a, b] != own):
-                    heapq.heappush(queue, (max(cost, -float(height[a, b])), steps + 1, own, a, b))
-    return label
-
-
-def _window(core: int, halo: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x0, y0 = int(pdf["cx"].min()), int(pdf["cy"].min())
-        shape = (int(pdf["cx"].max()) - x0 + 1, int(pdf["cy"].max()) - y0 + 1)
-        height, seeds = np.full(shape, np.nan), np.zeros(shape, np.int64)
-        i, j = pdf["cx"].to_numpy() - x0, pdf["cy"].to_numpy() - y0
-        height[i, j] = pdf["z"].to_numpy()
-        seeds[i, j] = pdf["seed"].to_numpy()
-        label = flood(height, seeds)[i, j]
-        mine = pdf["owned"].to_numpy(bool) & (label > 0)
-        return pd.DataFrame({"cx": pdf["cx"][mine], "cy": pdf["cy"][mine], "crown": label[mine]})
-
-    return run
-
-
-def watershed_crowns(cells: DataFrame, core: int = 25, halo: int = 10) -> DataFrame:
-    """(cx, cy, crown) of cells (cx, cy, z, seed): segmentation in cores of
-    ``core`` cells with a halo, each window on its own; a cell takes the label
-    that its core's window gives it."""
-    tile = lambda c: F.floor(F.col(c) / core).cast("long")
-    span = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    copies = cells.withColumns({"dx": F.explode(span)}).withColumns({"dy": F.explode(span)})
-    copies = copies.withColumns({"tx": tile("cx") + F.col("dx"), "ty": tile("cy") + F.col("dy")})
-    inside = lambda c, t: (F.col(c) >= F.col(t) * core - halo) & (F.col(c) < (F.col(t) + 1) * core + halo)
-    copies = copies.where(inside("cx", "tx") & inside("cy", "ty")).withColumn("owned", (F.col("dx") == 0) & (F.col("dy") == 0))
-    return copies.select("tx", "ty", "cx", "cy", "z", "seed", "owned").groupBy("tx", "ty").applyInPandas(_window(core, halo), "cx long, cy long, crown long")
-
-
-def _colour(limit: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        around: dict[int, set[int]] = {}
-        for a, b in zip(pdf["a"], pdf["b"]):
-            if a != b:
-                around.setdefault(int(a), set()).add(int(b))
-                around.setdefault(int(b), set()).add(int(a))
-        colour: dict[int, int] = {}
-        for node in sorted(around, key=lambda v: (-len(around[v]), v)):
-            taken = {colour[x] for x in around[node] if x in colour}
-            colour[node] = next(c for c in range(1, limit + 2) if c not in taken)
-            if colour[node] > limit:
-                raise ValueError("not enough colours")
-        return pd.DataFrame({"node": list(colour), "colour": list(colour.values())})
-
-    return run
-
-
-def greedy_coloring(edges: DataFrame, limit: int = 9) -> DataFrame:
-    """(node, colour): nodes by falling degree take the smallest free colour.
-    Components do not touch each other, so each is coloured on its own."""
-    comp = connected_components(edges)
-    tagged = edges.join(comp.withColumnRenamed("node", "a"), "a")
-    return tagged.groupBy("component").applyInPandas(_colour(limit), "node long, colour long")
+def watershed_crowns(cells: DataFrame, block: int = 256) -> DataFrame:
+    """(cx, cy, crown) of cells (cx, cy, z, seed); see ``rasters.crowns``."""
+    turned = cells.select(F.col("cy").alias("row"), F.col("cx").alias("col"), "z", "seed")
+    return crowns(turned, block=block).select(F.col("col").alias("cx"), F.col("row").alias("cy"), "crown")
+
+
+def greedy_coloring(edges: DataFrame) -> DataFrame:
+    """(node, colour): nodes by falling degree, then id, take the smallest colour
+    that no neighbour before them has.
+
+    In rounds over priority: a node is coloured once all its neighbours that come
+    before it are, so a round is a join and any graph spreads over tasks."""
+    both = edges.where("a <> b").select("a", "b").unionByName(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    degree = both.groupBy("a").agg(F.count("*").alias("n"))
+    order = lambda t: F.struct((-F.col("n" + t)).alias("k"), F.col(t).alias("i"))
+    side = lambda t: degree.select(F.col("a").alias(t), F.col("n").alias("n" + t))
+    before = materialize(both.join(side("a"), "a").join(side("b"), "b").where(order("b") < order("a")).select("a", "b"), "colour-links")  # b goes before a
+    open_ = materialize(degree.select(F.col("a").alias("node")), "colour-open")
+    done = None
+    while not open_.isEmpty():
+        held = before.join(open_.select(F.col("node").alias("b")), "b", "left_semi").select(F.col("a").alias("node")).distinct()
+        ready = open_.join(held, "node", "left_anti")
+        if done is None:
+            new = ready.withColumn("colour", F.lit(1).cast("long"))
+        else:
+            taken = before.join(done.select(F.col("node").alias("b"), "colour"), "b").groupBy(F.col("a").alias("node")).agg(F.collect_set("colour").alias("t"))
+            free = F.array_min(F.array_except(F.sequence(F.lit(1).cast("long"), F.size("t") + 1), F.col("t")))
+            new = ready.join(taken, "node", "left").select("node", F.coalesce(free, F.lit(1)).cast("long").alias("colour"))
+        new = materialize(new, "colours")
+        done = new if done is None else done.union(new)
+        old, open_ = open_, materialize(open_.join(new, "node", "left_anti"), "colour-open")
+        discard(old)
+    return edges.select(F.col("a").alias("node"), F.lit(1).cast("long").alias("colour")).limit(0) if done is None else done
 
 
 def _eigen(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -18,11 +18,11 @@ def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def plateau_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = relation(spark, sf_dir, "cells").where("z >= 45").select("cx", "cy", F.floor(F.col("z") / 2).cast("long").alias("z"))
+    cells = relation(spark, sf_dir, "cells").select("cx", "cy", F.floor(F.col("z") / 2).cast("long").alias("z"))
     return grids.plateau_components(cells)
 
 
-PLATEAUS = """WITH c AS (SELECT cx, cy, cast(floor(z / 2) AS BIGINT) AS z, cx * 1000000 + cy AS a FROM cells WHERE z >= 45),
+PLATEAUS = """WITH c AS (SELECT cx, cy, cast(floor(z / 2) AS BIGINT) AS z, cx * 1000000 + cy AS a FROM cells),
 e AS (SELECT p.a, q.a AS b FROM c p JOIN c q ON abs(p.cx - q.cx) <= 1 AND abs(p.cy - q.cy) <= 1 AND p.z = q.z),
 r AS (SELECT a, a AS b FROM c UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
 SELECT c.cx, c.cy, c.z, min(r.b) AS component FROM c JOIN r ON c.a = r.a GROUP BY c.cx, c.cy, c.z"""

@@ -34,7 +34,7 @@ def las_return_flags(d):
 @query("pts")
 def point_decode(d):
     return """SELECT pid, x, y, z, cls & 31 AS code, rn & 15 AS number, CASE WHEN rn = 1 AND rc = 1 THEN 'single' WHEN rn = 1 THEN 'first'
-  WHEN rn = rc THEN 'last' ELSE 'intermediate' END AS return_type FROM pts WHERE (flags & 13) = 0 AND x >= 10 AND x < 60"""
+  WHEN rn = rc THEN 'last' ELSE 'intermediate' END AS return_type FROM pts WHERE (flags & 13) = 0"""
 
 
 @query("pts")
@@ -59,8 +59,7 @@ FROM pts p LEFT JOIN ground g ON cast(floor(p.x / 2e0) AS BIGINT) = g.cx AND cas
 
 @query("pts")
 def class_recode_audit(d):
-    return """WITH changes AS (SELECT pid, 6 AS new_code FROM pts WHERE cls = 5 AND z > 40 AND rn = 1)
-SELECT p.pid, p.cls AS old_code, coalesce(c.new_code, p.cls) AS new_code, c.pid IS NOT NULL AS changed FROM pts p LEFT JOIN changes c ON p.pid = c.pid"""
+    return "SELECT pid, cls AS old_code, CASE WHEN cls = 5 AND z > 40 AND rn = 1 THEN 6 ELSE cls END AS new_code, cls = 5 AND z > 40 AND rn = 1 AS changed FROM pts"
 
 
 @query("pts")
@@ -141,13 +140,6 @@ def eligibility_reasons(d):
   concat(CASE WHEN c_acctbal < 0 THEN 'negative;' ELSE '' END, CASE WHEN c_nationkey % 5 = 0 THEN 'region;' ELSE '' END, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'segment;' ELSE '' END) AS reasons FROM customer) t"""
 
 
-@query("parcels", "tops")
-def bbox_overlaps(d):
-    return f"""SELECT a.pid, count(*) AS n_overlaps, min(b.pid) AS first_overlap FROM (SELECT *, cast(floor(x0 / 50e0) AS BIGINT) + o AS bx, cast(floor(y0 / 40e0) AS BIGINT) AS byy FROM parcels CROSS JOIN {d.offsets([0, 1], 'o')} q) a
-JOIN (SELECT *, cast(floor(x0 / 50e0) AS BIGINT) AS bx, cast(floor(y0 / 40e0) AS BIGINT) AS byy FROM parcels) b ON a.bx = b.bx AND a.byy = b.byy
-WHERE a.pid <> b.pid AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1 GROUP BY 1"""
-
-
 # ------------------------------------------------------------------------ joins
 
 
@@ -227,16 +219,6 @@ def auto_accept(d):
     return """SELECT d.doc_id, d.lang FROM documents d LEFT ANTI JOIN labels l ON d.doc_id = l.doc_id WHERE d.n_chars BETWEEN 500 AND 5000 AND d.lang IN ('en', 'de')""" if type(d).__name__ == "Spark" else """SELECT d.doc_id, d.lang FROM documents d ANTI JOIN labels l ON d.doc_id = l.doc_id WHERE d.n_chars BETWEEN 500 AND 5000 AND d.lang IN ('en', 'de')"""
 
 
-@query("parcels")
-def best_overlap(d):
-    area = "(least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0))"
-    return f"""WITH l AS (SELECT *, cast(floor(x0 / 50e0) AS BIGINT) + o AS bx, cast(floor(y0 / 40e0) AS BIGINT) AS byy FROM parcels CROSS JOIN {d.offsets([-1, 0, 1], 'o')} q),
-r AS (SELECT *, cast(floor(x0 / 50e0) AS BIGINT) AS bx, cast(floor(y0 / 40e0) AS BIGINT) AS byy FROM parcels),
-p AS (SELECT a.pid, b.pid AS other, {area} AS inter, (a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {area} AS uni FROM l a JOIN r b ON a.bx = b.bx AND a.byy = b.byy
-  WHERE a.pid <> b.pid AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1)
-SELECT pid, other, inter, iou, CASE WHEN iou >= 0.5e0 THEN 'MATCH' ELSE 'PARTIAL' END AS match_class FROM (SELECT pid, other, inter, inter / uni AS iou, row_number() OVER (PARTITION BY pid ORDER BY inter DESC, other) AS k FROM p) t WHERE k = 1"""
-
-
 @query("tops")
 def seam_partners(d):
     return f"""WITH e AS (SELECT id, x, y, h, cast(floor(x / 250e0) AS BIGINT) AS tile, cast(floor(x / 4e0) AS BIGINT) AS bx, cast(floor(y / 4e0) AS BIGINT) AS byy FROM tops WHERE x - floor(x / 250e0) * 250 < 4 OR x - floor(x / 250e0) * 250 >= 246),
@@ -275,7 +257,7 @@ SELECT p_brand, count(*) AS n, {d.median('diff')} AS median_bias, {d.pct('abs(di
 @query("pts")
 def class_shares(d):
     return """SELECT l_suppkey, count(*) AS n, sum(CASE WHEN cls = 6 THEN 1 ELSE 0 END) AS n6, sum(CASE WHEN cls = 5 THEN 1 ELSE 0 END) AS nveg, sum(CASE WHEN cls = 6 THEN 1 ELSE 0 END) / (1e0 * count(*)) AS share6,
-  sum(CASE WHEN cls = 5 THEN 1 ELSE 0 END) / (1e0 * count(*)) AS shareveg FROM pts GROUP BY l_suppkey"""
+  sum(CASE WHEN cls = 5 THEN 1 ELSE 0 END) / (1e0 * count(*)) AS shareveg, sum(CASE WHEN cls NOT IN (5, 6) THEN 1 ELSE 0 END) AS nother, sum(CASE WHEN cls NOT IN (5, 6) THEN 1 ELSE 0 END) / (1e0 * count(*)) AS shareother FROM pts GROUP BY l_suppkey"""
 
 
 @query("votes")
@@ -318,13 +300,16 @@ def rule_funnel(d):
 
 @query("pts")
 def scope_summaries(d):
-    return f"""SELECT s.scope, count(*) AS n, sum(CASE WHEN cls = 6 THEN 1 ELSE 0 END) AS n6, max(z) AS top FROM pts CROSS JOIN {d.series(6, 'scope')} s
-WHERE s.scope = 1 OR (s.scope = 2 AND x < 50) OR (s.scope = 3 AND y < 50) OR (s.scope = 4 AND x < 50 AND y < 50) OR (s.scope = 5 AND rn = 1) OR (s.scope = 6 AND x >= 25 AND x < 75) GROUP BY s.scope"""
+    # one scan: the scopes' sums side by side, turned into rows at the end
+    scopes = ["x >= 0", "x < 50", "y < 50", "x < 50 AND y < 50", "rn = 1", "x >= 25 AND x < 75"]
+    sums = ", ".join(f"sum(CASE WHEN {s} THEN 1 ELSE 0 END) AS n{i}, sum(CASE WHEN {s} AND cls = 6 THEN 1 ELSE 0 END) AS m{i}, max(CASE WHEN {s} THEN z END) AS t{i}" for i, s in enumerate(scopes, 1))
+    pick = lambda c: "CASE s.scope " + " ".join(f"WHEN {i} THEN {c}{i}" for i in range(1, 7)) + " END"
+    return f"SELECT s.scope, {pick('n')} AS n, {pick('m')} AS n6, {pick('t')} AS top FROM (SELECT {sums} FROM pts) a CROSS JOIN {d.series(6, 'scope')} s"
 
 
 @query("pts")
 def block_density(d):
-    return f"""WITH g AS (SELECT bx, byy FROM {d.series(10, 'bx')} a CROSS JOIN {d.series(10, 'byy')} b), n AS (SELECT cast(floor(x / 10e0) AS BIGINT) + 1 AS bx, cast(floor(y / 10e0) AS BIGINT) + 1 AS byy, count(*) AS n FROM pts WHERE x < 95 GROUP BY 1, 2),
+    return f"""WITH g AS (SELECT bx, byy FROM {d.series(10, 'bx')} a CROSS JOIN {d.series(10, 'byy')} b), n AS (SELECT cast(floor(x / 10e0) AS BIGINT) + 1 AS bx, cast(floor(y / 10e0) AS BIGINT) + 1 AS byy, count(*) AS n FROM pts GROUP BY 1, 2),
 c AS (SELECT coalesce(n.n, 0) / 100e0 AS density FROM g LEFT JOIN n ON g.bx = n.bx AND g.byy = n.byy)
 SELECT count(*) AS blocks, min(density) AS low, {d.pct('density', '0.1e0')} AS p10, {d.median('density')} AS p50, {d.pct('density', '0.9e0')} AS p90, max(density) AS high FROM c"""
 
@@ -341,7 +326,7 @@ def thin_pulses(d):
 
 @query()
 def flight_groups(d):
-    return f"SELECT dates, count(*) AS customers, min(o_custkey) AS first_customer FROM (SELECT o_custkey, {d.joined(d.text('cast(o_orderdate AS DATE)'))} AS dates FROM orders WHERE o_orderkey % 3 = 0 GROUP BY o_custkey) t GROUP BY dates"
+    return f"SELECT dates, count(*) AS customers, min(o_custkey) AS first_customer FROM (SELECT o_custkey, {d.joined(d.text('cast(o_orderdate AS DATE)'))} AS dates FROM orders GROUP BY o_custkey) t GROUP BY dates"
 
 
 @query()
@@ -372,8 +357,10 @@ SELECT p_brand, min(CASE WHEN 2 * cum >= total THEN p_retailprice END) AS median
 
 @query("units")
 def auc_by_ranks(d):
-    return """WITH r AS (SELECT quality, rank() OVER (ORDER BY n_chars) + (count(*) OVER (PARTITION BY n_chars) - 1) / 2e0 AS r FROM units WHERE quality IS NOT NULL)
-SELECT sum(quality) AS positives, count(*) - sum(quality) AS negatives, (sum(CASE WHEN quality = 1 THEN r ELSE 0e0 END) - sum(quality) * (sum(quality) + 1) / 2e0) / (1e0 * sum(quality) * (count(*) - sum(quality))) AS auc FROM r"""
+    # ranks run over the different values, not over all rows
+    return """WITH v AS (SELECT n_chars, count(*) AS n, sum(quality) AS k FROM units WHERE quality IS NOT NULL GROUP BY n_chars),
+r AS (SELECT n, k, sum(n) OVER (ORDER BY n_chars) - n + (n + 1) / 2e0 AS r FROM v)
+SELECT sum(k) AS positives, sum(n) - sum(k) AS negatives, (sum(k * r) - sum(k) * (sum(k) + 1) / 2e0) / (1e0 * sum(k) * (sum(n) - sum(k))) AS auc FROM r"""
 
 
 @query("pts", "cells")
@@ -394,25 +381,11 @@ def highest_point_per_cell(d):
     return "SELECT cx, cy, pid, z FROM (SELECT cast(floor(x / 2e0) AS BIGINT) AS cx, cast(floor(y / 2e0) AS BIGINT) AS cy, pid, z, row_number() OVER (PARTITION BY floor(x / 2e0), floor(y / 2e0) ORDER BY z DESC, pid) AS k FROM pts) t WHERE k = 1"
 
 
-@query("units")
-def review_order(d):
-    h = d.hash32("concat('review|', " + d.text("doc_id") + ")")
-    return f"""SELECT doc_id, stratum, k, CASE WHEN 2 * (k - 1) < n THEN 1 ELSE 2 END AS batch FROM (SELECT doc_id, stratum, row_number() OVER (PARTITION BY stratum ORDER BY {h}, doc_id) AS k, count(*) OVER (PARTITION BY stratum) AS n FROM units WHERE quality IS NOT NULL) t"""
-
-
 @query("units")
 def round_robin(d):
     return "SELECT doc_id, source, turn FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS turn FROM units) t WHERE turn <= 10"
 
 
-@query()
-def top_share(d):
-    h = d.hash32("concat('share|', " + d.text("o_orderkey") + ")")
-    return f"""WITH r AS (SELECT o_orderkey, o_orderpriority, o_totalprice, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS k, {h} AS h FROM orders),
-s AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY CASE WHEN k <= 5 THEN 0 ELSE 1 END, h, o_orderkey) AS m FROM r)
-SELECT o_orderkey, o_orderpriority, CASE WHEN k <= 5 THEN 'PRIORITY' ELSE 'RANDOM' END AS part FROM s WHERE m <= 10"""
-
-
 @query()
 def queue_next(d):
     return "SELECT conv_id, turn, role FROM (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations WHERE role = 'user') t WHERE k = 1"
@@ -432,7 +405,8 @@ SELECT l_orderkey, layer, count(*) AS n, min(l_quantity) AS low, max(l_quantity)
 
 @query()
 def dense_renumber(d):
-    return "SELECT c_custkey, c_nationkey, dense_rank() OVER (ORDER BY c_nationkey) AS label FROM customer WHERE c_nationkey % 3 <> 1"
+    return """SELECT c_custkey, c.c_nationkey, label FROM customer c
+JOIN (SELECT c_nationkey, row_number() OVER (ORDER BY c_nationkey) AS label FROM (SELECT DISTINCT c_nationkey FROM customer) v) k ON c.c_nationkey = k.c_nationkey"""
 
 
 @query()
@@ -456,17 +430,6 @@ UNION ALL SELECT 'any', count(*) FROM (SELECT o_custkey FROM orders WHERE o_orde
 # ------------------------------------------------------------ grids and rasters
 
 
-@query("pts", "cells", "near")
-def focal_mean(d):
-    return """SELECT o.cx, o.cy, avg(c.z) AS mean_z, count(*) AS n FROM (SELECT cx + dx AS nx, cy + dy AS ny, cx, cy FROM cells CROSS JOIN near) o JOIN cells c ON o.nx = c.cx AND o.ny = c.cy GROUP BY o.cx, o.cy"""
-
-
-@query("pts", "cells", "near")
-def local_maxima_cells(d):
-    return """SELECT s.cx, s.cy, s.z FROM cells s JOIN (SELECT o.cx, o.cy, max(c.z) AS top FROM (SELECT cx + dx AS nx, cy + dy AS ny, cx, cy FROM cells CROSS JOIN near) o JOIN cells c ON o.nx = c.cx AND o.ny = c.cy GROUP BY o.cx, o.cy) m
-ON s.cx = m.cx AND s.cy = m.cy WHERE s.z >= m.top AND s.z >= 2"""
-
-
 @query("pts", "cells", "near")
 def binary_closing(d):
     grow = "SELECT DISTINCT cx + dx AS cx, cy + dy AS cy FROM {} CROSS JOIN near"
@@ -530,8 +493,8 @@ def stratified_totals(d):
 
 @query("units")
 def wilson_by_stratum(d):
-    return """SELECT stratum, n, k, (p + 1.9207294e0 / n - 1.959964e0 * sqrt(p * (1 - p) / n + 0.9603647e0 / (1e0 * n * n))) / (1 + 3.8414588e0 / n) AS low,
-  (p + 1.9207294e0 / n + 1.959964e0 * sqrt(p * (1 - p) / n + 0.9603647e0 / (1e0 * n * n))) / (1 + 3.8414588e0 / n) AS high FROM (SELECT stratum, count(quality) AS n, sum(quality) AS k, sum(quality) / (1e0 * count(quality)) AS p FROM units WHERE quality IS NOT NULL GROUP BY stratum) t"""
+    return """SELECT stratum, n, k, greatest(0e0, (p + 1.9207294e0 / n - 1.959964e0 * sqrt(p * (1 - p) / n + 0.9603647e0 / (1e0 * n * n))) / (1 + 3.8414588e0 / n)) AS low,
+  least(1e0, (p + 1.9207294e0 / n + 1.959964e0 * sqrt(p * (1 - p) / n + 0.9603647e0 / (1e0 * n * n))) / (1 + 3.8414588e0 / n)) AS high FROM (SELECT stratum, count(quality) AS n, sum(quality) AS k, sum(quality) / (1e0 * count(quality)) AS p FROM units WHERE quality IS NOT NULL GROUP BY stratum) t"""
 
 
 @query("units")

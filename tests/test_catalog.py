@@ -47,6 +47,6 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_no_cartesian_products(spark):
-    for name in ("pip_ownership", "ball_join_stats", "knn_neighbors", "best_overlap"):
+    for name in ("pip_ownership", "ball_join_stats", "knn_neighbors", "scope_rows", "tile_cores"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan, name

@@ -65,22 +65,25 @@ def test_large_component_is_matched():
     assert len(got) == 2_500 and set(got["distance"]) == {2.0}
 
 
-def test_flood_is_symmetric_and_keeps_seeds():
-    height = np.array([[9.0, 5, 1, 5, 9]])
-    assert grids.flood(height, np.array([[1, 0, 0, 0, 2]])).tolist() == [[1, 1, 1, 2, 2]]
-    height[0, 2] = np.nan
-    assert grids.flood(height, np.array([[1, 0, 0, 0, 0]])).tolist() == [[1, 1, 0, 0, 0]]
-
-
 def test_crowns_cover_cells_once(spark):
     rows = registry.watershed_crowns(spark, SF).collect()
     assert len(rows) == len({(r.cx, r.cy) for r in rows})
 
 
-def test_colours_differ_along_edges(spark):
-    edges = [(0, 1), (1, 2), (2, 0), (3, 4), (2, 3)]
+def test_colours_are_those_of_going_in_turn(spark):
+    rng = random.Random(11)
+    edges = [(0, 1), (1, 2), (2, 0), (3, 4), (2, 3), (5, 5)] + [(rng.randrange(40), rng.randrange(40)) for _ in range(90)]
+    around = {}
+    for a, b in edges:
+        if a != b:
+            around.setdefault(a, set()).add(b)
+            around.setdefault(b, set()).add(a)
+    want = {}
+    for v in sorted(around, key=lambda v: (-len(around[v]), v)):
+        taken = {want[u] for u in around[v] if u in want}
+        want[v] = next(c for c in range(1, 99) if c not in taken)
     got = {r.node: r.colour for r in grids.greedy_coloring(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert all(got[a] != got[b] for a, b in edges) and max(got.values()) <= 3
+    assert got == want
 
 
 def test_eigen_features_sum(spark):

@@ -43,13 +43,13 @@ def _runner(name: str):
 
 def queries() -> dict:
     from gridloom.operators import registry
-    from gridloom.plans import estimates, fieldwork, grids, rulebook, shapes
+    from gridloom.plans import estimates, fieldwork, grids, reports, rulebook, shapes
 
-    return {name: _runner(name) for name in STATEMENTS} | rulebook.queries() | shapes.queries() | estimates.queries() | grids.queries() | fieldwork.queries() | registry.queries()
+    return {name: _runner(name) for name in STATEMENTS} | rulebook.queries() | shapes.queries() | estimates.queries() | grids.queries() | fieldwork.queries() | reports.queries() | registry.queries()
 
 
 def oracle_sql() -> dict[str, str]:
     from gridloom.operators import registry
-    from gridloom.plans import estimates, fieldwork, grids, rulebook, shapes
+    from gridloom.plans import estimates, fieldwork, grids, reports, rulebook, shapes
 
-    return {name: statement(name, DuckDB()) for name in STATEMENTS} | rulebook.oracle_sql() | shapes.oracle_sql() | estimates.oracle_sql() | grids.oracle_sql() | fieldwork.oracle_sql() | registry.oracle_sql()
+    return {name: statement(name, DuckDB()) for name in STATEMENTS} | rulebook.oracle_sql() | shapes.oracle_sql() | estimates.oracle_sql() | grids.oracle_sql() | fieldwork.oracle_sql() | reports.oracle_sql() | registry.oracle_sql()

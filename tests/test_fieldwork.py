@@ -278,3 +278,35 @@ def test_streams_over_many_batches(spark, tmp_path):
     assert sorted(got.values()) == sorted(want.values()) and len(got) == len(want)
     pairs = windows.distinct_pairs(windows.event_stream(spark, path, 1), "1 day").collect()
     assert sorted((p.user_id, p.event_type) for p in pairs) == [(0, "a"), (0, "b"), (1, "a"), (1, "b")]
+
+
+# ---------------------------------------------------------------------- rasters
+
+
+def test_geotiff_round_trip(spark, tmp_path):
+    from gridloom.sources import rasters
+
+    rng = np.random.default_rng(1)
+    rows = [(int(r), int(c), float(np.float32(rng.random()))) for r in range(13) for c in range(9) if (r + c) % 7]
+    df = spark.createDataFrame(rows, "row long, col long, value double")
+    assert rasters.write_tiles(df, str(tmp_path / "t"), 100.0, 200.0, 0.5, block=5).agg(F.sum("cells").alias("n")).first().n == len(rows)
+    back = rasters.read_tiles(spark, str(tmp_path / "t"), 100.0, 200.0).collect()
+    assert sorted((r.row, r.col, r.value) for r in back) == rows
+    a, x, y, cell = rasters.decode(rasters.encode(np.array([[1.0, np.nan]]), 5.0, 9.0, 0.25))
+    assert (x, y, cell, a[0, 0]) == (5.0, 9.0, 0.25, 1.0) and np.isnan(a[0, 1])
+    with pytest.raises(ValueError):
+        rasters.decode(b"MM\0*")
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from gridloom.__main__ import main
+
+    main(["list"])
+    assert "canopy_cover_by_zone" in capsys.readouterr().out
+    main(["sql", "tile_halos"])
+    assert "range(3)" in capsys.readouterr().out
+    out = str(tmp_path / "tiles")
+    main(["tiles", "0", "0", "25", "10", out, "--size", "10", "--overlap", "2"])
+    assert spark.read.parquet(out).count() == 3
+    with pytest.raises(FileExistsError):
+        main(["tiles", "0", "0", "25", "10", out])

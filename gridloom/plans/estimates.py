@@ -127,8 +127,10 @@ def _linear(values: str, terms: list[tuple[str, str, str]], where: str = "label
     means = ", ".join(f"avg({n}) AS m_{n}" for n in names)
     return f"""WITH u AS ({_UNITS}), z AS ({_SIZES}), v AS (SELECT stratum, {values} FROM {source} WHERE {where}), h AS (SELECT stratum, {means} FROM v GROUP BY stratum),
     t AS (SELECT {totals} FROM h JOIN z USING (stratum)), j AS (SELECT * FROM v JOIN z USING (stratum) CROSS JOIN t), p AS ({parts}),
-    c AS (SELECT key, estimate, n, power(size, 2) * (1 - n / size) * s2 / n AS v FROM p)
-    SELECT key, any_value(estimate) AS estimate, sqrt(sum(v)) AS error, power(sum(v), 2) / sum(v * v / (n - 1)) AS degrees, 'ANALYTIC_TAYLOR_T' AS status FROM c GROUP BY key"""
+    c AS (SELECT key, estimate, n, power(size, 2) * (1 - n / size) * s2 / n AS v FROM p),
+    a AS (SELECT bool_or(k = 1) AS alike FROM (SELECT count(DISTINCT ({", ".join(names)}, 0)) AS k FROM v GROUP BY stratum) d),
+    e AS (SELECT key, any_value(estimate) AS estimate, sqrt(sum(v)) AS error, power(sum(v), 2) / sum(v * v / (n - 1)) AS degrees FROM c GROUP BY key)
+    SELECT key, estimate, CASE WHEN NOT alike THEN error END AS error, CASE WHEN NOT alike THEN degrees END AS degrees, CASE WHEN alike THEN 'HOMOGENEOUS_OR_DEGENERATE_SAMPLE' ELSE 'ANALYTIC_TAYLOR_T' END AS status FROM e, a"""
 
 
 def _share(key: str, a: str, b: str, scale: str = "1", add_a: str = "", add_b: str = "") -> tuple[str, str, str]:

@@ -23,9 +23,9 @@ makes no pairs.  Where sets share a signature, they are held against the group's
 hub (the member in the largest company), never against all others: first each
 text against the one hub it meets most often; then, only where a group's texts
 are neither connected by then nor in one star, against that group's hub.
-Members of one hub's star that are still in different components are joined on
-their differences to the hub, with prefix, length and count filters
-(residual_links), so siblings that are merely near each other make no pairs.
+Members of one hub's star that are still in different components are held
+against each other by their differences to the hub (residual_links), so siblings
+that are merely near each other make no pairs.
 Every link is verified on whole sets.  Components come from alternating
 large-star and small-star steps, on pairs only.
 
@@ -392,7 +392,7 @@ def class_links(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100)
     # then, where texts of a signature are neither of one component nor in one
     # star, those outside of its hub's star against that hub
     own = comp.select(F.col("node").alias("key"), F.col("component"))
-    placed = starred.join(best.select("key", F.col("hub").alias("met")), "key", "left").join(own, "key", "left").select(
+    placed = starred.join(_near(best.select("key", F.col("hub").alias("met"))), "key", "left").join(_near(own), "key", "left").select(
         "sig", "key", "hub", F.coalesce("component", "key").alias("c"), (F.col("hub").eqNullSafe(F.col("met")) | (F.col("key") == F.col("hub"))).alias("inside")
     )
     placed = materialize(placed, "jaccard-met")
@@ -407,75 +407,134 @@ def class_links(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100)
     return links.unionByName(rest)
 
 
+#: Members of a star that meet in one task; of larger ones, blocks meet in pairs.
+STAR = 1_024
+
+#: What a member of a star brings along: sizes of its set and of its differences to
+#: the hub, their smallest elements, whether it is open, and its component.
+_MEMBERS = ("key", "n", "a", "b", "gained", "lost", "open", "own")
+
+
+class _Index:
+    """The rows that list an element, of lists of (sorted) elements."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        flat = np.concatenate(lists) if lists else np.empty(0, np.uint64)
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.row, self.rows = flat[order], row[order], len(lists)
+
+    def common(self, some: np.ndarray) -> np.ndarray:
+        """How many of ``some`` each row lists."""
+        first, last = np.searchsorted(self.flat, some, "left"), np.searchsorted(self.flat, some, "right")
+        n = last - first
+        at = np.arange(n.sum()) + np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n)
+        return np.bincount(self.row[at], minlength=self.rows)
+
+
+def least_apart(x: np.ndarray, nx: int, y: np.ndarray, ny: int) -> int:
+    """Least symmetric difference of sets of nx and ny elements of which x and y are
+    the smallest ones, sorted.  Up to the smaller end of the lists that are not
+    whole all is known; beyond it, at best, one's rest is part of the other's."""
+    end = min(1 << 64 if len(s) == n else int(s[-1]) if len(s) else -1 for s, n in ((x, nx), (y, ny)))
+    x_in, y_in = (len(s) if end >> 64 == 1 else int(np.searchsorted(s, np.uint64(end), "right")) if end >= 0 else 0 for s in (x, y))
+    shared = len(np.intersect1d(x[:x_in], y[:y_in], assume_unique=True))
+    return x_in + y_in - 2 * shared + abs((nx - x_in) - (ny - y_in))
+
+
+def _siblings(num: int, den: int, sparse: bool):
+    """Pairs (hub, key, sure) of a star's members in different components, one of
+    them open at least, that are linked (sure) or may be.  Members found to be
+    linked are of one component from then on, so a group of m members that are
+    all linked gives m - 1 pairs; if sparse, so are members that may be linked."""
+
+    def run(table: pa.Table) -> pa.Table:
+        pair = (table.column("i")[0].as_py(), table.column("j")[0].as_py())
+        table = table.sort_by("key")
+        key, n, a, b, own = (table.column(c).to_numpy() for c in ("key", "n", "a", "b", "own"))
+        open_, block = table.column("open").to_numpy(), table.column("block").to_numpy()
+        own = np.unique(own, return_inverse=True)[1]
+
+        def lists(name: str) -> list[np.ndarray]:
+            column = table.column(name).combine_chunks()
+            column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+            flat, at = column.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy())))
+            return [flat[u:v] for u, v in zip(at, at[1:])]
+
+        gained, lost = lists("gained"), lists("lost")
+        more_a, more_b = a - np.array([len(x) for x in gained]), b - np.array([len(x) for x in lost])
+        met_a, met_b = _Index(gained), _Index(lost)
+        rows, out = np.arange(len(key)), []
+        for x in np.flatnonzero(block == pair[0] if pair[0] != pair[1] else open_):
+            other = (block == pair[1]) & (open_[x] | open_) if pair[0] != pair[1] else ~open_ | (rows > x)
+            limit = (n[x] + n) * (den - num) // (den + num)
+            other &= (own != own[x]) & (np.abs(n[x] - n) <= limit)
+            if not other.any():
+                continue
+            sure = more_a[x] + more_b[x] + more_a + more_b == 0
+            common_a = np.minimum(met_a.common(gained[x]) + more_a[x] + more_a, np.minimum(a[x], a))
+            common_b = np.minimum(met_b.common(lost[x]) + more_b[x] + more_b, np.minimum(b[x], b))
+            near = np.flatnonzero(other & (a[x] + a - 2 * common_a + b[x] + b - 2 * common_b <= limit))
+            for y in near[np.argsort(~sure[near], kind="stable")]:
+                if own[y] == own[x]:
+                    continue
+                if not sure[y] and least_apart(gained[x], a[x], gained[y], a[y]) + least_apart(lost[x], b[x], lost[y], b[y]) > limit[y]:
+                    continue
+                if sure[y] or sparse:
+                    own[own == own[y]] = own[x]
+                out.append((int(key[x]), int(key[y]), bool(sure[y])))
+        cols = list(zip(*out)) or [(), (), ()]
+        return pa.table({"hub": pa.array(cols[0], pa.int64()), "key": pa.array(cols[1], pa.int64()), "sure": pa.array(cols[2], pa.bool_())})
+
+    return run
+
+
 def residual_links(stars: DataFrame, links: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Links that the pairs with hubs have not led to.
 
     Such a link lies between two members x, y of one hub's star, in different
-    components; at least x is not linked with the hub.  Let Ax be what x has and
-    the hub lacks, Bx what the hub has and x lacks.  x and y differ in the
-    symmetric differences of Ax, Ay and of Bx, By, at most L elements together.
-
-    * If Ax and Ay meet, they do so in their first L + 1 elements (prefix
-      filter: each leaves at most L outside of the other).
-    * If they don't, |Ax| + |Ay| + ||Bx| - |By|| <= L, while |Ax| + |Bx| is over
-      the hub's limit.  It follows that |By| > |Ay|: y is smaller than the hub.
-      Then Bx and By share over half of |Ay| + |By| elements, and at least
-      |Ax| + |Bx| - L.
-
-    Sets that differ from the hub in replaced words are as large as the hub, so
-    only the first case is theirs, and there a pair comes from elements that
-    both have and the hub has not.  A pair goes on only if as many elements are
-    shared as a link needs; what the lists do not settle is compared whole.
+    components; at least one is not linked with the hub (it is open).  Let Ax be
+    what x has and the hub lacks, Bx what the hub has and x lacks.  x and y differ
+    in the symmetric differences of Ax, Ay and of Bx, By.  Where all four are
+    listed whole, that settles the pair; else, what is listed gives the least
+    they can differ in (least_apart), and only pairs within the limit are compared
+    whole.  A star's members travel as lists; stars of over STAR members are cut
+    into blocks that meet each other.  If pairs have to be compared whole, the
+    first round takes as many as connect those that may be linked, and a second
+    one those that are still apart.
     """
-    comp = connected_components(links)
-    own = comp.select(F.col("node").alias("key"), F.col("component").alias("own"))
-    main = comp.select(F.col("node").alias("hub"), F.col("component").alias("main"))
-    largest = F.floor(F.col("nk") * den / num)
-    placed = stars.join(own, "key", "left").join(main, "hub", "left").select(
-        "hub", "key", "nh", F.col("nk").alias("n"), "gained", "lost", "linked", "a", "b",
-        F.coalesce("own", "key").alias("own"), F.coalesce("main", "hub").alias("main"), _limit(F.col("nk"), largest, num, den).cast("int").alias("most"),
-    )
-    placed = materialize(placed, "jaccard-placed")
-    is_open = ~F.col("linked") & (F.col("own") != F.col("main"))
-    open_hubs = materialize(placed.where(is_open).select("hub").distinct(), "jaccard-open")
-    stars = placed.join(open_hubs, "hub", "left_semi")
-
-    def spread(rows: DataFrame, elements, tag: str) -> DataFrame:
-        settled = F.col("linked") | (F.col("own") == F.col("main"))
-        return rows.select(
-            "hub", F.explode(elements).alias("e"), settled.alias("settled" + tag), (F.col("a") - F.size("gained")).alias("more" + tag), *[F.col(c).alias(c + tag) for c in ("key", "n", "a", "b", "own")]
-        )
-
-    limit = _limit(F.col("nx"), F.col("ny"), num, den)
-    apart_b = F.abs(F.col("bx") - F.col("by"))
-
-    def met(x: DataFrame, y: DataFrame, least, once) -> DataFrame:
-        return x.join(y, ["hub", "e"]).where((F.col("ownx") != F.col("owny")) & (least + apart_b <= limit) & once)
-
-    opened = stars.where(is_open)
-    gained = met(spread(opened, F.col("gained"), "x"), spread(stars, F.col("gained"), "y"), F.abs(F.col("ax") - F.col("ay")), F.col("settledy") | (F.col("keyx") < F.col("keyy")))
-    shared = gained.groupBy("hub", "keyx", "keyy").agg(F.count("*").alias("c"), *[F.first(c).alias(c) for c in ("ax", "ay", "bx", "by", "nx", "ny", "morex", "morey")])
-    gained = shared.where(F.col("ax") + F.col("ay") - 2 * F.least(F.col("c") + F.col("morex") + F.col("morey"), "ax", "ay") + apart_b <= limit)
-    first = lambda n: F.slice("lost", F.lit(1), F.greatest(n, F.lit(0)).cast("int"))
-    small = F.col("a") <= F.col("most")
-    tail_x = F.col("b") - F.greatest(F.col("a") + F.col("b") - F.col("most"), F.lit(1)) + 1
-    tail_y = F.least(F.col("b") - F.floor((F.col("a") + F.col("b")) / 2), F.col("most") - F.col("a") + 1)
-    lost = met(spread(opened.where(small), first(tail_x), "x"), spread(stars.where(small & (F.col("n") < F.col("nh"))), first(tail_y), "y"), F.col("ax") + F.col("ay"), F.lit(True))
-    ends = lambda df: df.select("hub", F.least("keyx", "keyy").alias("keyx"), F.greatest("keyx", "keyy").alias("keyy"))
-    pairs = materialize(ends(gained).unionByName(ends(lost).distinct()).distinct(), "jaccard-open-pairs")
-    side = lambda t: stars.select("hub", *[F.col(c).alias(c + t) for c in ("key", "n", "a", "b", "gained", "lost")])
-    seen = pairs.join(side("x"), ["hub", "keyx"]).join(side("y"), ["hub", "keyy"])
-
-    def least_apart(size: str, listed: str):
-        """Least symmetric difference of two sets by their listed parts."""
-        x, y = F.col(size + "x"), F.col(size + "y")
-        common = F.size(F.array_intersect(listed + "x", listed + "y")) + (x - F.size(listed + "x")) + (y - F.size(listed + "y"))
-        return x + y - 2 * F.least(common, x, y)
-
-    close = seen.where(least_apart("a", "gained") + least_apart("b", "lost") <= limit)
-    left = materialize(close.select(F.col("keyx").alias("hub"), F.col("keyy").alias("key")).distinct(), "jaccard-left")
-    whole = compare(left, texts, width, num, den)
-    return whole.where(F.col("a") + F.col("b") <= _limit(F.col("nh"), F.col("nk"), num, den)).select(F.col("hub").alias("a"), F.col("key").alias("b"))
+    found, unsure = _residual_round(stars, links, texts, width, num, den, True)
+    if not unsure:
+        return found
+    again, _ = _residual_round(stars, links.unionByName(found), texts, width, num, den, False)
+    return found.unionByName(again)
+
+
+def _residual_round(stars: DataFrame, links: DataFrame, texts: DataFrame, width: int, num: int, den: int, sparse: bool) -> tuple[DataFrame, bool]:
+    """Links of one round, and whether pairs were compared whole for it."""
+    comp = materialize(connected_components(links), "jaccard-comp")
+    small = comp.count() <= BROADCAST_ROWS
+    near = lambda df: F.broadcast(df) if small else df
+    own = near(comp.select(F.col("node").alias("key"), F.col("component").alias("own")))
+    main = near(comp.select(F.col("node").alias("hub"), F.col("component").alias("main")))
+    slim = stars.select("hub", "key", "linked").join(own, "key", "left").join(main, "hub", "left")
+    slim = slim.select("hub", "key", F.coalesce("own", "key").alias("own"), (~F.col("linked") & (F.coalesce("own", "key") != F.coalesce("main", "hub"))).alias("open"))
+    sizes = slim.groupBy("hub").agg(F.count("*").alias("m"), F.max("open").alias("any")).where("any and m > 1")
+    sizes = materialize(sizes.select("hub", F.ceil(F.col("m") / STAR).alias("blocks")), "jaccard-open")
+    placed = stars.drop("linked").withColumnRenamed("nk", "n").join(_near(sizes), "hub")
+    linked = F.col("a") + F.col("b") <= _limit(F.col("nh"), F.col("n"), num, den)
+    placed = placed.join(own, "key", "left").join(main, "hub", "left").withColumns({"own": F.coalesce("own", "key"), "main": F.coalesce("main", "hub")})
+    placed = placed.withColumns({"open": ~linked & (F.col("own") != F.col("main")), "block": F.pmod(F.xxhash64("key"), "blocks")})
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    placed = placed.select("hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", *_MEMBERS)
+    found = placed.groupBy("hub", "i", "j").applyInArrow(_siblings(num, den, sparse), "hub long, key long, sure boolean")
+    found = materialize(found.groupBy(F.least("hub", "key").alias("hub"), F.greatest("hub", "key").alias("key")).agg(F.max("sure").alias("sure")), "jaccard-siblings")
+    sure = found.where("sure").select(F.col("hub").alias("a"), F.col("key").alias("b"))
+    if found.where("not sure").isEmpty():
+        return sure, False
+    whole = compare(found.where("not sure").select("hub", "key"), texts, width, num, den)
+    whole = whole.where(F.col("a") + F.col("b") <= _limit(F.col("nh"), F.col("nk"), num, den)).select(F.col("hub").alias("a"), F.col("key").alias("b"))
+    return materialize(sure.unionByName(whole), "jaccard-siblings"), True
 
 
 def text_keys(text: str = "text"):

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gridloom.plans.staging import materialize
+
 
 def digitize(value: Column, breaks: Sequence[float]) -> Column:
     """Class 1, 2, ... by rising breaks, a break's value in the class above; 0 if unknown."""
@@ -99,18 +103,102 @@ def cell_medians(shifts: DataFrame, size: float, least: int = 10) -> DataFrame:
     return shifts.groupBy(F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy")).agg(F.count("*").alias("n"), F.median("dx").alias("dx"), F.median("dy").alias("dy")).where(F.col("n") >= least)
 
 
-def local_field(fits: DataFrame, reach: float = 150.0, least: int = 5) -> DataFrame:
-    """Per footprint (id, x, y, dx, dy, reliable): the median shift of reliable others
-    within reach, their number, spread, and how far its own shift is from theirs."""
+def _weighted_median(value: np.ndarray, count: np.ndarray) -> float:
+    """Median of sorted values, each ``count`` times; nan if there are none."""
+    total = np.cumsum(count)
+    n = int(total[-1]) if len(total) else 0
+    if not n:
+        return np.nan
+    low, high = np.searchsorted(total, [(n - 1) // 2, n // 2], side="right")
+    return 0.5 * value[low] + 0.5 * value[high]
+
+
+def _medians_around(reach: float, inside: Callable):
+    """Per place and own shift (of one block): number, medians and spread of the
+    others within reach.  Others are counted per place and shift; a place adds up
+    the counts around it once, and takes each own shift out again."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        shifts, code = np.unique(pdf[["dx", "dy"]].to_numpy(), axis=0, return_inverse=True)
+        code = code.ravel()
+        dx, dy = shifts[:, 0], shifts[:, 1]
+        known_x, known_y = (o[~np.isnan(v[o])] for v, o in ((dx, np.argsort(dx, kind="stable")), (dy, np.argsort(dy, kind="stable"))))
+        # places by x, and what is counted at each
+        places, at = np.unique(pdf[["x", "y"]].to_numpy(), axis=0, return_inverse=True)
+        at = at.ravel()
+        order = np.argsort(at, kind="stable")
+        code_of, others = code[order], pdf["others"].to_numpy()[order]
+        start = np.searchsorted(at[order], np.arange(len(places) + 1))
+        own = pdf["own"].to_numpy()[order]
+        own_index, own_taken = pdf.index.to_numpy()[order], pdf["reliable"].to_numpy()[order]
+        out = []
+        for p in np.unique(at[pdf["own"].to_numpy()]):
+            x, y = places[p]
+            a, b = np.searchsorted(places[:, 0], [x - reach * 1.001, x + reach * 1.001])
+            near = a + np.flatnonzero(inside(places[a:b, 0] - x, places[a:b, 1] - y))
+            length = start[near + 1] - start[near]
+            rows = np.arange(length.sum()) + np.repeat(start[near] - np.concatenate(([0], np.cumsum(length)[:-1])), length)
+            count = np.bincount(code_of[rows], weights=others[rows], minlength=len(shifts)).astype(np.int64)
+            for r in range(start[p], start[p + 1]):
+                if not own[r]:
+                    continue
+                mine = count
+                if own_taken[r]:
+                    mine = count.copy()
+                    mine[code_of[r]] -= 1
+                mx, my = _weighted_median(dx[known_x], mine[known_x]), _weighted_median(dy[known_y], mine[known_y])
+                there = np.flatnonzero(mine)
+                away = np.hypot(dx[there] - mx, dy[there] - my)
+                by = np.argsort(away, kind="stable")
+                by = by[~np.isnan(away[by])]
+                out.append((own_index[r], int(mine.sum()), mx, my, _weighted_median(away[by], mine[there][by])))
+        found = pd.DataFrame(out, columns=["row", "n", "mx", "my", "spread"]).set_index("row")
+        found["k"] = pdf["k"].loc[found.index]
+        return found[["k", "n", "mx", "my", "spread"]]
+
+    return run
+
+
+def medians_around(fits: DataFrame, reach: float, inside: Callable) -> DataFrame:
+    """Per id of footprints (id, x, y, dx, dy, reliable): number of reliable others
+    within reach (``inside`` of dx, dy), medians of their shifts and spread.  Ids
+    without any are left out.
+
+    Equal footprints are counted and worked on once, and no pairs are written.
+    Rows of a repeated id are neighbours of neither, so these ids are joined."""
+    from gridloom.operators.surfaces import point_blocks
+
+    kinds = ["x", "y", "dx", "dy", "reliable"]
+    rows = fits.select("id", *[F.col(c).cast("double").alias(c) for c in kinds[:4]], F.coalesce("reliable", F.lit(False)).alias("reliable"))
+    repeated = materialize(rows.groupBy("id").agg(F.count("*").alias("m")).where("m > 1 or id is null").select("id"), "field-repeated")
+    alike = materialize(rows.where("x is not null and y is not null").groupBy(*kinds).agg(F.count("*").alias("m")).withColumn("k", F.monotonically_increasing_id()), "field-alike")
+    spread = point_blocks(alike.withColumn("others", F.when(F.col("reliable"), F.col("m")).otherwise(0)), reach, reach).where("own or reliable")
+    found = spread.groupBy("bx", "by").applyInPandas(_medians_around(reach, inside), "k long, n long, mx double, my double, spread double")
+    null = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)
+    found = materialize(found.where("n > 0").select("k", "n", null("mx"), null("my"), null("spread")), "field-medians")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in kinds]
+    once = rows.where("id is not null") if repeated.isEmpty() else rows.join(repeated, "id", "left_anti").where("id is not null")
+    one = once.alias("r").join(alike.join(found, "k").alias("f"), same).select("r.id", "n", "mx", "my", "spread")
+    return one if repeated.isEmpty() else one.unionByName(_joined_medians(rows.join(repeated, "id", "left_semi"), rows.where("reliable"), reach, inside))
+
+
+def _joined_medians(own: DataFrame, fits: DataFrame, reach: float, inside: Callable) -> DataFrame:
     cell = lambda c: F.floor(F.col(c) / reach)
     span = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    own = fits.select("id", "x", "y", "dx", "dy").withColumn("i", F.explode(span)).withColumn("j", F.explode(span)).withColumns({"cx": cell("x") + F.col("i"), "cy": cell("y") + F.col("j")})
-    other = fits.where("reliable").select(F.col("id").alias("oid"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("dx").alias("odx"), F.col("dy").alias("ody"), cell("x").alias("cx"), cell("y").alias("cy"))
-    near = own.join(other, ["cx", "cy"]).where((F.col("id") != F.col("oid")) & (F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy")) <= reach))
+    own = own.select("id", "x", "y").withColumn("i", F.explode(span)).withColumn("j", F.explode(span)).withColumns({"cx": cell("x") + F.col("i"), "cy": cell("y") + F.col("j")})
+    other = fits.select(F.col("id").alias("oid"), F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("dx").alias("odx"), F.col("dy").alias("ody"), cell("x").alias("cx"), cell("y").alias("cy"))
+    near = own.join(other, ["cx", "cy"]).where((F.col("id") != F.col("oid")) & inside(F.col("x") - F.col("ox"), F.col("y") - F.col("oy")))
     middle = near.groupBy("id").agg(F.count("*").alias("n"), F.median("odx").alias("mx"), F.median("ody").alias("my"))
     spread = near.join(middle, "id").groupBy("id").agg(F.median(F.hypot(F.col("odx") - F.col("mx"), F.col("ody") - F.col("my"))).alias("spread"))
+    return middle.join(spread, "id", "left")
+
+
+def local_field(fits: DataFrame, reach: float = 150.0, least: int = 5) -> DataFrame:
+    """Per footprint (id, x, y, dx, dy, reliable): the median shift of reliable others
+    within reach, their number, spread, and how far its own shift is from theirs."""
+    hypot = lambda u, v: (F.hypot(u, v) if isinstance(u, Column) else np.hypot(u, v)) <= reach
     enough = F.col("n") >= least
-    joined = fits.join(middle, "id", "left").join(spread, "id", "left")
+    joined = fits.join(medians_around(fits, reach, hypot), "id", "left")
     pick = lambda c: F.when(enough, F.col(c))
     return joined.select(
         "id", F.coalesce("n", F.lit(0)).alias("n"), pick("mx").alias("local_dx"), pick("my").alias("local_dy"), pick("spread").alias("spread"), F.hypot(pick("mx"), pick("my")).alias("local_m"),
@@ -118,6 +206,13 @@ def local_field(fits: DataFrame, reach: float = 150.0, least: int = 5) -> DataFr
     )
 
 
+def shift_field(points: DataFrame, reach: float, least: int = 5) -> DataFrame:
+    """(id, n, shift) of points (id, x, y, sx): number and median shift of the others
+    within reach, where there are enough."""
+    fits = points.select("id", "x", "y", F.col("sx").alias("dx"), F.lit(0.0).alias("dy"), F.lit(True).alias("reliable"))
+    return medians_around(fits, reach, lambda u, v: u * u + v * v <= reach * reach).where(F.col("n") >= least).select("id", "n", F.col("mx").alias("shift"))
+
+
 def state_counts(cells: DataFrame, cell_area: float) -> DataFrame:
     """Cells, hectares and share of each state per zone and class."""
     n = cells.groupBy("zone", "class", "state").agg(F.count("*").alias("cells"))

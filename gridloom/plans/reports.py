@@ -75,6 +75,11 @@ def shift_neighbours(spark, sf_dir):
     return U.local_field(_read(spark, sf_dir, _FITS), 40.0)
 
 
+def shift_field(spark, sf_dir):
+    # its SQL is the statement of that name
+    return U.shift_field(_read(spark, sf_dir, "SELECT id, x, y, (id % 21 - 10) / 10e0 AS sx FROM tops WHERE event_type = 'click'", ("tops",)), 60.0)
+
+
 def zone_states(spark, sf_dir):
     return U.state_counts(_read(spark, sf_dir, _STATES), 0.25)
 
@@ -109,7 +114,7 @@ def eyes_parts(spark, sf_dir):
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        classed_values, group_heights, building_heights, height_report, height_outliers, collapsed_crosstab, label_agreement, gate_counts, gate_funnel, shift_medians, shift_neighbours, zone_states, building_roofs,
+        classed_values, group_heights, building_heights, height_report, height_outliers, collapsed_crosstab, label_agreement, gate_counts, gate_funnel, shift_medians, shift_neighbours, shift_field, zone_states, building_roofs,
         model_errors, model_grades, run_comparison, aligned_points, eyes_parts,
     )}
 

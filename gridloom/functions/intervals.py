@@ -96,6 +96,37 @@ def sign_test(b: Column, c: Column) -> Column:
     return test(b, c)
 
 
+def log10_tail(b: int, c: int, whole: int = 2_000) -> float:
+    """log10 of the p of ``sign_test``, also where p is too small for a double.
+
+    The largest term of the sum is taken in whole numbers, above ``whole`` by
+    Stirling's series (whose error is below rounding there); the others by their
+    ratios to it, down to where they no longer count."""
+    n, k = b + c, min(b, c)
+    total, term, i = 0.0, 1.0, k
+    while i >= 0 and term > 1e-20 * total:
+        total, term, i = total + term, term * i / (n - i + 1), i - 1
+    if k <= whole:
+        top = math.comb(n, k)
+        bits = top.bit_length()
+        found = math.log10(top / (1 << bits) * total) + (bits + 1 - n) * math.log10(2)
+    else:
+        rest = lambda x: 1 / (12 * x) - 1 / (360 * x**3)
+        away = k * math.log1p((k - (n - k)) / n) + (n - k) * math.log1p(((n - k) - k) / n)
+        found = (rest(n) - rest(k) - rest(n - k) - away + math.log(n / (2 * math.pi * k * (n - k))) / 2) / math.log(10) + math.log10(2 * total)
+    return min(0.0, found)
+
+
+def log10_sign_test(b: Column, c: Column) -> Column:
+    """log10 of ``sign_test``."""
+
+    @F.pandas_udf("double")
+    def test(b: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series([log10_tail(int(x), int(y)) for x, y in zip(b, c)])
+
+    return test(b, c)
+
+
 def decision(k: Column, n: Column, needed: int, limit: float) -> Column:
     """Verdict on a stratum by a plan fixed beforehand: waiting until enough are
     answered, then pass if the upper Wilson limit of the error share is low enough."""

@@ -63,7 +63,7 @@ def stratum_table(spark, sf_dir):
 def exact_sign_test(spark, sf_dir):
     units, _ = _units(spark, sf_dir)
     pairs = units.groupBy("stratum").agg(F.count_if(F.col("retained") & ~F.col("canopy")).alias("b"), F.count_if(~F.col("retained") & F.col("canopy")).alias("c"))
-    return pairs.select("stratum", "b", "c", F.log10(intervals.sign_test(F.col("b"), F.col("c"))).alias("log_p"))
+    return pairs.select("stratum", "b", "c", intervals.log10_sign_test(F.col("b"), F.col("c")).alias("log_p"))
 
 
 def stratum_decisions(spark, sf_dir):

@@ -1,6 +1,7 @@
 """Estimators against published values and the reference's own fixtures."""
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -72,3 +73,15 @@ def test_parameters_are_checked():
     for bad in ({"nothing": 1}, {"matched_share": 1.2}, {"cell_size_m": 0}, {"overhang_m": 0.1}, {"roof_percentile": 101}, {"near_roof_m": math.inf}):
         with pytest.raises(ValueError):
             rules.parameters(**bad)
+
+
+def test_sign_test_of_many_pairs(spark):
+    """Where p is below the smallest double, its logarithm is still there."""
+    exact = lambda b, c: Fraction(2 * sum(math.comb(b + c, i) for i in range(min(b, c) + 1)), 2 ** (b + c))
+    log10 = lambda p: (math.log2(p.numerator) - math.log2(p.denominator)) * math.log10(2)
+    for b, c in ((0, 0), (1, 0), (3, 3), (3, 4), (0, 40), (9, 31), (500, 480), (2_952, 5_796), (2_500, 2_400), (40, 3_000), (2_700, 2_700)):
+        want = min(0.0, log10(exact(b, c)))
+        assert abs(intervals.log10_tail(b, c) - want) <= 1e-9 * max(1, abs(want)) and (min(b, c) < 100 or abs(intervals.log10_tail(b, c, 50) - want) <= 1e-9 * max(1, abs(want)))
+    pairs = spark.createDataFrame([(29_520, 57_960), (0, 0)], "b long, c long")
+    got = [r.log_p for r in pairs.select(intervals.log10_sign_test(F.col("b"), F.col("c")).alias("log_p")).collect()]
+    assert abs(got[0] + 2_046.614465738082) < 1e-6 and got[1] == 0
